@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from corpusmill.plans import corpus_queries  # noqa: F401
+from corpusmill.plans import corpus_queries, feature_queries  # noqa: F401
 from corpusmill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
