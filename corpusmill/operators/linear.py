@@ -31,8 +31,7 @@ class DescentModel:
         return spark.createDataFrame(rows, "term_idx int, w double")
 
     def scorer(self, spark) -> LinearScorer:
-        bias = spark.range(1).select(F.lit(float(self.bias)).alias("bias"))
-        return LinearScorer(self.weight_frame(spark), bias)
+        return LinearScorer(self.weight_frame(spark), float(self.bias))
 
     def cost_history(self, spark) -> DataFrame:
         return spark.createDataFrame(self.costs, "iteration int, cost double")

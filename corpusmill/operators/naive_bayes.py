@@ -68,16 +68,12 @@ def class_sizes(docs: DataFrame, *by: str) -> DataFrame:
         F.count(F.when(F.col("label") == 1, 1)).alias("n1"))
 
 
-def _attach(df: DataFrame, one_row: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({c: one_row.select(c).scalar() for c in names})
-
-
 @dataclass
 class LinearScorer:
-    """weights(term_idx, w) and a one-row bias(bias)."""
+    """weights(term_idx, w) and a bias."""
 
     weights: DataFrame
-    bias: DataFrame
+    bias: float
     binarize: bool = False
 
 
@@ -88,15 +84,19 @@ def complete_terms(sums: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def fit_nb(weights: DataFrame, docs: DataFrame, vocab: DataFrame, kind: str = "MNB",
            alpha: float = 1.0, sums: DataFrame | None = None) -> LinearScorer:
-    """Fit from training postings; ``docs`` gives the class sizes."""
+    """Fit from training postings; ``docs`` gives the class sizes.
+
+    The sums (one row per vocabulary term) are kept, so the postings are read
+    once; five totals come back to the driver.
+    """
     sums = label_term_sums(weights) if sums is None else sums
-    full = _attach(complete_terms(sums, vocab), class_sizes(docs), "n0", "n1")
-    totals = full.agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v"))
-    full = _attach(full, totals, "t0", "t1", "v")
-    params = full.select("term_idx", term_weight(kind, alpha).alias("w"))
+    full = complete_terms(sums, vocab).persist()
+    n = class_sizes(docs).first()
+    t = full.agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v")).first()
+    known = full.withColumns({k: F.lit(x) for k, x in {**n.asDict(), **t.asDict()}.items()})
     absent = absent_weight(alpha) if kind == "BNB" else F.lit(0.0)
-    bias = full.groupBy().agg(F.sum(absent).alias("_a"), F.first("n0").alias("n0"), F.first("n1").alias("n1"))
-    return LinearScorer(params, bias.select((F.col("_a") + class_prior(kind)).alias("bias")), kind == "BNB")
+    bias = known.select(absent.alias("_a"), class_prior(kind).alias("_p")).agg(F.sum("_a") + F.max("_p")).first()[0]
+    return LinearScorer(known.select("term_idx", term_weight(kind, alpha).alias("w")), float(bias), kind == "BNB")
 
 
 def linear_margin(docs: DataFrame, weights: DataFrame, scorer: LinearScorer, max_features: int,
@@ -107,7 +107,7 @@ def linear_margin(docs: DataFrame, weights: DataFrame, scorer: LinearScorer, max
     dots = (weights.join(side, "term_idx").groupBy("doc_id").agg(F.sum(x * F.col("w")).alias("_dot")))
     return docs.select("doc_id", *keep).join(dots, "doc_id", "left").select(
         "doc_id", *keep,
-        (F.coalesce("_dot", F.lit(0.0)) + scorer.bias.scalar()).alias("margin"))
+        (F.coalesce("_dot", F.lit(0.0)) + F.lit(scorer.bias)).alias("margin"))
 
 
 def with_prediction(margins: DataFrame) -> DataFrame:
@@ -154,20 +154,22 @@ def cv_scores(docs: DataFrame, weights: DataFrame, alphas: list[float],
     the parameter table, so each posting is joined once for all of them. The
     vocabulary was fitted on the same rows: its terms all occur in ``weights``.
     """
+    spark = docs.sparkSession
     grid = [(kind, a) for kind in kinds for a in alphas]
-    sums = leave_fold_out_sums(weights, k)
-    sizes = [F.struct(F.lit(f).alias("fold"),
-                      *[F.count(F.when((F.col("fold") != f) & (F.col("label") == c), 1)).alias(f"n{c}")
-                        for c in (0, 1)]) for f in range(k)]
-    per_fold = docs.agg(F.array(*sizes).alias("_s")).select(F.inline("_s"))
+    sums = leave_fold_out_sums(weights, k).persist()
+    sizes = docs.groupBy("fold").agg(F.count(F.when(F.col("label") == 0, 1)).alias("n0"),
+                                     F.count(F.when(F.col("label") == 1, 1)).alias("n1")).collect()
     totals = sums.groupBy("fold").agg(
-        F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v"))
-    constants = F.broadcast(per_fold.join(F.broadcast(totals), "fold"))  # k rows
+        F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v")).collect()
+    # k rows of constants per held-out fold.
+    constants = F.broadcast(spark.createDataFrame(
+        [(t.fold, sum(s.n0 for s in sizes if s.fold != t.fold), sum(s.n1 for s in sizes if s.fold != t.fold),
+          t.t0, t.t1, t.v) for t in totals], "fold int, n0 long, n1 long, t0 double, t1 double, v long"))
     full = sums.join(constants, "fold")
     params = full.select("fold", "term_idx", *[
         term_weight(kind, a).alias(f"w{i}") for i, (kind, a) in enumerate(grid)])
     biases = full.groupBy("fold").agg(*[
-        (F.sum(absent_weight(a)) if kind == "BNB" else F.lit(0.0)).alias(f"a{i}")
+        (F.coalesce(F.sum(absent_weight(a)), F.lit(0.0)) if kind == "BNB" else F.lit(0.0)).alias(f"a{i}")
         for i, (kind, a) in enumerate(grid)]).join(constants, "fold").select("fold", *[
             (F.col(f"a{i}") + class_prior(kind)).alias(f"b{i}") for i, (kind, _) in enumerate(grid)])
     side = broadcast_bounded(params, k * max_features, 8 * (len(grid) + 4))

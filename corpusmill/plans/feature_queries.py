@@ -132,7 +132,7 @@ SELECT doc_id, CAST(term_idx AS INTEGER) AS term_idx, round(weight, 6) AS weight
 SELECT doc_id, CAST(subject_idx + (SELECT count(*) FROM vocab) AS INTEGER), 1.0::DOUBLE FROM test JOIN subj USING (subject)""")
 def assemble_features(spark, sf):
     config = FeatureConfig(include_subject=True)
-    split = Y.stratified_split(I.corpus(spark, sf, config)).persist()
+    split = materialize(Y.stratified_split(materialize(I.corpus(spark, sf, config), "prepared")), "split")
     train, test = (split.where(F.col("split") == x) for x in ("train", "test"))
     vocab = V.fit_vocabulary(train, config)
     onehot = V.subject_onehot(test, V.fit_subjects(train))

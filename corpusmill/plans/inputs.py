@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusmill.config import FeatureConfig
 from corpusmill.operators.corpus import clean_frame, drop_empty, drop_exact_duplicates, prepare_corpus
 from corpusmill.operators.split import stratified_split
+from corpusmill.session import materialize
 
 EXTERNAL_SOURCES = ["src15", "src16", "src17", "src18", "src19"]
 
@@ -74,7 +75,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 @dataclass
 class Sides:
-    """Split corpus, persisted: several steps of a query read it."""
+    """Split corpus in a written table: several steps of a query read it."""
 
     all: DataFrame
     train: DataFrame
@@ -82,6 +83,6 @@ class Sides:
 
 
 def sides(spark: SparkSession, sf: str) -> Sides:
-    split = split_corpus(spark, sf).persist()
+    split = materialize(stratified_split(materialize(corpus(spark, sf), "prepared")), "split")
     return Sides(split, split.where(F.col("split") == "train").drop("split"),
                  split.where(F.col("split") == "test").drop("split"))
