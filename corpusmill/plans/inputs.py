@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusmill.config import FeatureConfig
 from corpusmill.operators.corpus import clean_frame, drop_empty, drop_exact_duplicates, prepare_corpus
 from corpusmill.operators.split import stratified_split
-from corpusmill.session import materialize
+from corpusmill.session import materialize, spread_small
 
 EXTERNAL_SOURCES = ["src15", "src16", "src17", "src18", "src19"]
 
@@ -22,7 +22,8 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
     """All documents; the first line is the title, the rest the text."""
     title = F.substring_index("text", "\n", 1)
     body = F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)")
-    return table(spark, sf, "documents").select(
+    documents = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    return spread_small(documents, "doc_id").select(
         "doc_id", title.alias("title"), body.alias("text"), F.col("source").alias("subject"),
         "lang", F.col("doc_id").cast("string").alias("date"))
 
