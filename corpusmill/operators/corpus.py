@@ -87,9 +87,13 @@ def clean_frame(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataF
 def prepare_corpus(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Check, clean, de-duplicate, then drop texts that became empty."""
     out = clean_frame(require_columns(df, config), config)
-    if config.drop_exact_duplicates:
-        out = drop_exact_duplicates(out, with_subject=config.include_subject)
-    return drop_empty(out)
+    if not config.drop_exact_duplicates:
+        return drop_empty(out)
+    # The length travels on its own: who only counts labels or ranks identifiers
+    # then reads no text through the exchange.
+    sized = out.withColumn("_length", F.length("content"))
+    firsts = drop_exact_duplicates(sized, with_subject=config.include_subject)
+    return firsts.where(F.col("_length") > 0).drop("_length")
 
 
 def split_overlap(split: DataFrame) -> DataFrame:

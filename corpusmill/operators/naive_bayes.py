@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions.numeric import sigmoid
-from corpusmill.session import broadcast_bounded
+from corpusmill.session import broadcast_bounded, materialize
 
 KINDS = ("MNB", "BNB", "CNB")
 
@@ -86,11 +86,11 @@ def fit_nb(weights: DataFrame, docs: DataFrame, vocab: DataFrame, kind: str = "M
            alpha: float = 1.0, sums: DataFrame | None = None) -> LinearScorer:
     """Fit from training postings; ``docs`` gives the class sizes.
 
-    The sums (one row per vocabulary term) are kept, so the postings are read
-    once; five totals come back to the driver.
+    The sums (one row per vocabulary term) are written, so the postings are read
+    once and the model has no lineage; five totals come back to the driver.
     """
     sums = label_term_sums(weights) if sums is None else sums
-    full = complete_terms(sums, vocab).persist()
+    full = materialize(complete_terms(sums, vocab), "term_sums")
     n = class_sizes(docs).first()
     t = full.agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v")).first()
     known = full.withColumns({k: F.lit(x) for k, x in {**n.asDict(), **t.asDict()}.items()})
@@ -156,7 +156,7 @@ def cv_scores(docs: DataFrame, weights: DataFrame, alphas: list[float],
     """
     spark = docs.sparkSession
     grid = [(kind, a) for kind in kinds for a in alphas]
-    sums = leave_fold_out_sums(weights, k).persist()
+    sums = materialize(leave_fold_out_sums(weights, k), "fold_sums")
     sizes = docs.groupBy("fold").agg(F.count(F.when(F.col("label") == 0, 1)).alias("n0"),
                                      F.count(F.when(F.col("label") == 1, 1)).alias("n1")).collect()
     totals = sums.groupBy("fold").agg(

@@ -17,6 +17,7 @@ from corpusmill.operators.curves import auc_roc
 from corpusmill.operators.linear import logreg_gd
 from corpusmill.operators.metrics import binary_metrics, confusion_counts, weighted_metrics
 from corpusmill.operators.naive_bayes import KINDS, cv_scores, with_prediction
+from corpusmill.session import materialize
 
 CV_METRICS = ("accuracy", "precision", "sensitivity", "specificity", "f1", "auc")
 
@@ -41,7 +42,7 @@ def evaluate_splits(scored: DataFrame) -> DataFrame:
 def cv_grid(docs: DataFrame, weights: DataFrame, alphas: list[float], kinds=KINDS, k: int = 5,
             max_features: int = 20000) -> DataFrame:
     """(kind, alpha, fold, metric, value) for all six metrics of all models."""
-    scored = with_prediction(cv_scores(docs, weights, alphas, kinds, k, max_features)).persist()
+    scored = materialize(with_prediction(cv_scores(docs, weights, alphas, kinds, k, max_features)), "cv_scores")
     keys = ("kind", "alpha", "fold")
     # Ordering by the margin avoids the ties that a saturated sigmoid makes.
     margins = scored.withColumn("score", F.col("margin"))

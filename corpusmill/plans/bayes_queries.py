@@ -220,7 +220,7 @@ def _external_fit(spark, sf):
 def external_eval(spark, sf):
     """Fitted on the in-domain sources, applied to the others without refitting."""
     fitted, scorer, outside = _external_fit(spark, sf)
-    scored = H.predict_batch(outside, fitted, scorer).persist()
+    scored = materialize(H.predict_batch(outside, fitted, scorer), "predicted")
     area = auc_roc(scored.withColumn("score", F.col("margin")))
     return rounded(weighted_metrics(confusion_counts(scored)).withColumn("auc_roc", area.scalar()))
 

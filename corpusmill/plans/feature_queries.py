@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corpusmill.config import FeatureConfig
@@ -112,8 +113,9 @@ def tfidf_vectors(spark, sf):
     vocab = materialize(V.fit_vocabulary(s.train), "vocab")
     width = vocab.count()
     vectors = vector_frame(V.sparse_rows(s.test, V.tfidf_transform(s.test, vocab)), width)
-    as_text = F.udf(lambda v: (len(v.indices), v.size), "n_active long, width long")
-    return vectors.select("doc_id", as_text("features").alias("v")).select("doc_id", "v.n_active", "v.width")
+    plain = vectors.select("doc_id", vector_to_array("features").alias("v"))
+    return plain.select("doc_id", F.size(F.filter("v", lambda x: x != 0)).cast("long").alias("n_active"),
+                        F.size("v").cast("long").alias("width"))
 
 
 @query("subject_onehot", S.with_(S.ARTICLES, S.LABELLED, "fit AS (SELECT DISTINCT subject FROM labelled WHERE subject NOT IN (" + S.OUTSIDE + "))",

@@ -57,7 +57,7 @@ class _Rows:
 
 def _quality(scored):
     """Weighted metrics and area of a label/pred/score frame, as one row."""
-    scored = scored.select("label", "pred", "score").persist()
+    scored = materialize(scored.select("label", "pred", "score"), "scored")
     table = weighted_metrics(confusion_counts(scored)).withColumn("auc_roc", auc_roc(scored).scalar())
     return rounded(table.select(*WEIGHTED, "auc_roc"))
 
@@ -127,7 +127,9 @@ def feature_importance_linear(spark, sf):
 def logreg_gd_quality(spark, sf):
     """Scaled features, 20 steps, scored on the test side."""
     r = _Rows(spark, sf, scaled=True)
-    model = G.logreg_gd(r.side("train").persist(), r.size, RATE, 20, REG)
+    train = r.side("train").persist()
+    model = G.logreg_gd(train, r.size, RATE, 20, REG)
+    train.unpersist()
     test = r.weights.where(F.col("split") == "test")
     scored = G.linear_score(r.test, test, model.weight_frame(spark), float(model.bias), CAP, "label")
     return _quality(scored.withColumn("pred", (F.col("score") >= 0.5).cast("int")))
@@ -147,7 +149,9 @@ def grid_search_holdout(spark, sf):
         return out.withColumn("pred", (F.col("score") >= 0.5).cast("int"))
 
     space = {"learning_rate": [0.05, 0.2], "n_iterations": [2, 4], "regularization": [0.001, 1.0]}
-    return rounded(L.grid_search_holdout(fit, held, score, r.size, space))
+    table = L.grid_search_holdout(fit, held, score, r.size, space)
+    fit.unpersist()
+    return rounded(table)
 
 
 # --- Spark ML models --------------------------------------------------------------
@@ -191,7 +195,7 @@ def svm_kernel(spark, sf):
     out = None
     for spec in (R.KernelSpec("rbf"), R.KernelSpec("poly", degree=3), R.KernelSpec("sigmoid")):
         nystrom = R.fit_nystrom(train, r.size, spec, m=64)
-        model = G.svm_linear(nystrom.transform(train).persist(), r.n_train, max_iter=20)
+        model = G.svm_linear(nystrom.transform(train), r.n_train, max_iter=20)
         row = _quality(G.decision_scores(model.transform(nystrom.transform(test)))).withColumn("kernel", F.lit(spec.kind))
         out = row if out is None else out.unionByName(row)
     return out
@@ -235,6 +239,7 @@ def cv_grid_gbt(spark, sf):
     _, _, vectors = _tree_input(spark, sf)
     train = vectors.where(F.col("split") == "train").persist()
     table = L.cv_grid_gbt(train, {"maxDepth": [2, 3], "maxIter": [2]}, k=3)
+    train.unpersist()
     return rounded(table.drop("fit_seconds"))
 
 

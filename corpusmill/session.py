@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,17 +33,22 @@ def local_session(cores: int | str = 8, app: str = "corpusmill") -> SparkSession
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="corpusmill-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder every executor can reach.
 
     The cluster names that folder in ``spark.checkpoint.dir``. Only a local
     session may fall back to the machine's own temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="corpusmill-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
