@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import simhash, winnow
+from corpusmill.llm import simhash, suffix, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_suffix_trees", suffix.REPEATS_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.drop_repeated_spans(read_table(spark, sf_dir, "documents"), keep_text=False)
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
