@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import simhash, suffix, winnow
+from corpusmill.llm import pareto, simhash, suffix, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_pareto_mix", pareto.MIX_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto.mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op3_winnowing", winnow.CONTAMINATION_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
