@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import pareto, simhash, suffix, winnow
+from corpusmill.llm import pareto, simhash, suffix, warc, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                          F.col("component").alias("component_id"))
+
+
+@query("op10_warc_zstd", warc.ARCHIVE_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
