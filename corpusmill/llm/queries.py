@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import pareto, simhash, suffix, warc, winnow
+from corpusmill.llm import pareto, simhash, suffix, toxicity, warc, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_toxic_lexicon")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op5_suffix_trees", suffix.REPEATS_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.drop_repeated_spans(read_table(spark, sf_dir, "documents"), keep_text=False)
