@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import pareto, simhash, suffix, toxicity, warc, winnow
+from corpusmill.llm import pareto, pii, simhash, suffix, toxicity, warc, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_pii_bootstrap")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
 @query("op3_winnowing", winnow.CONTAMINATION_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
