@@ -86,7 +86,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
              .join(broadcast_measured(bench_prints, 16), "print"))
     matched = materialize(found.groupBy("digest").agg(F.collect_set("print").alias("matched")), "matched-texts")
 
-    suspects = texts.select("digest", "text").join(matched, "digest").dropDuplicates(["digest"])
+    few = broadcast_measured(matched.select("digest"), 64)
+    suspects = texts.select("digest", "text").join(few, "digest", "semi").dropDuplicates(["digest"]).join(matched, "digest")
     suspects = suspects.withColumn("words", words_of("text")).withColumn("grams", _gram_hashes("words", GRAM))
     nothing = F.array().cast("array<struct<start:int,len:int,words:string>>")
     # A window that starts at i holds the k-grams i to i + WINDOW - 1.
