@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import langid, pareto, pii, simhash, suffix, toxicity, warc, winnow
+from corpusmill.llm import imatch, langid, pareto, pii, simhash, suffix, toxicity, warc, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.drop_repeated_spans(read_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+@query("op6_imatch")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 @query("op7_language_ecoc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(read_table(spark, sf_dir, "documents"))
