@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import imatch, langid, pareto, pii, simhash, suffix, toxicity, warc, winnow
+from corpusmill.llm import html, imatch, langid, pareto, pii, simhash, suffix, toxicity, warc, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+@query("op9_html_gbt")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(read_table(spark, sf_dir, "pages"))
+
+
 @query("op10_warc_zstd", warc.ARCHIVE_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
