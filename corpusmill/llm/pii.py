@@ -205,12 +205,13 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; n_chars follows where there is one."""
     scanned = materialize(scan(docs), "pii-scan")
     added = _added(scanned)
-    spans = materialize(scanned.where("size(base) > 0").select("digest", "base").dropDuplicates(["digest"]).join(added, "digest", "full_outer").select(
-        "digest", _all_spans().alias("pii_spans")), "pii-spans")
-    width = spans.agg(F.max(F.size("pii_spans"))).first()[0] or 1
+    base = scanned.where("size(base) > 0").select("digest", "base").dropDuplicates(["digest"])
+    spans = materialize(base.join(added, "digest", "full_outer").select(
+        F.col("digest").alias("__pii_digest"), _all_spans().alias("__pii_spans")), "pii-spans")
+    width = spans.agg(F.max(F.size("__pii_spans"))).first()[0] or 1
     columns = docs.columns
-    rows = docs.withColumn("pii_digest", F.md5(F.coalesce("text", F.lit("")))).join(
-        broadcast_measured(spans.withColumnRenamed("digest", "pii_digest"), 64 + 16 * width), "pii_digest", "left").drop("pii_digest")
+    rows = docs.withColumn("__pii_digest", F.md5(F.coalesce("text", F.lit("")))).join(
+        broadcast_measured(spans, 64 + 16 * width), "__pii_digest", "left").drop("__pii_digest")
 
     def run(batches):
         for batch in batches:
@@ -221,7 +222,7 @@ def redact(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(n).type) if n == "text" else batch.column(i)
                                               for i, n in enumerate(columns)], columns)
 
-    out = rows.select(*columns, "pii_spans").mapInArrow(run, docs.schema)
+    out = rows.select(*columns, "__pii_spans").mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corpusmill.llm.common import map_rows, materialize, utf8
+from corpusmill.llm.common import broadcast_measured, map_rows, materialize, utf8
 from corpusmill.llm.components import connected_components
 
 MAX_BITS = 2       # fingerprints link at this many differing bits or fewer
@@ -103,3 +103,29 @@ def near_duplicate_groups(docs: DataFrame, words: int = 3, id_col: str = "doc_id
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     member = materialize(rooted.join(smallest, "root").select("fp", "component"), "fp-components")
     return fps.join(member, "fp").select("id", "fp", "component")
+
+
+def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id's (null last), then the smallest text hash.
+
+    Rows that repeat both are reduced to one. Columns stay as they are; texts
+    move only where a whole row repeats.
+    """
+    code = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = materialize(fingerprints(docs.select("doc_id", "text", code.alias("code")).select(
+        F.struct("doc_id", "code").alias("id"), "text"), id_col="id").select("id.doc_id", "id.code", "fp"), "coded-fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "code"))
+    classes = materialize(rows.groupBy("fp").agg(best.alias("first")), "fp-classes")
+    roots = connected_components(links(classes.select("fp")), "a", "b")
+    kept = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
+            .select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")))
+    kept = materialize(kept, "kept-rows")
+    match = F.col("doc_id").eqNullSafe(F.col("__id")) & (code == F.col("__code"))
+    once = docs.join(kept, match, "semi")
+    again = materialize(rows.groupBy("doc_id", "code").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("__id"), F.col("code").alias("__code")), "repeated-rows")
+    if again.isEmpty():
+        return once
+    repeated = broadcast_measured(again, 48)
+    first = once.join(repeated, match, "semi").withColumn("__code", code).dropDuplicates(["doc_id", "__code"]).select(*docs.columns)
+    return once.join(repeated, match, "anti").unionByName(first)

@@ -257,6 +257,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``docs`` without the rows that the model predicts to be toxic; columns stay as they are."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(model)
+        for batch in batches:
+            yield batch.filter(pa.array([matcher.score(t or "") < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted): fit on labels outside the held-out fifth, score every document."""
     model = fit(training_rows(docs, labels))

@@ -52,8 +52,12 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return spans.select("item", "len", F.array_join(F.expr("slice(words, start, len)"), " ").alias("words")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per row of ``docs``.
+def _digest() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
+def text_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(digest, n_hit, n_items, items_sha256) of the distinct texts that share a span with an item; written.
 
     1. Both sides keep the smallest hash of every ``WINDOW`` consecutive
        ``GRAM``-grams. Equal spans of ``SPAN`` words hold equal k-grams, so
@@ -79,7 +83,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         .unionByName(item_words.where(F.size("words") < SPAN).select(F.xxhash64("words").alias("print"))).distinct(),
         "bench-prints")
 
-    texts = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    texts = docs.select("text", _digest().alias("digest"))
     tokens = texts.withColumn("words", words_of("text"))
     # explode() would add a filter on the array's size, which computes all hashes once more below.
     found = (_with_hashes(tokens.select("digest", "words"), short).select("digest", F.explode_outer("prints").alias("print"))
@@ -108,10 +112,15 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     n_hit = covered.groupBy("digest").agg(F.sum(F.greatest("fresh", F.lit(0))).alias("n_hit"))
     named = hits.select("digest", "len", "words").distinct().join(windows, ["len", "words"]).groupBy("digest").agg(
         F.array_sort(F.collect_set("item")).alias("items"))
-    per_text = materialize(n_hit.join(named, "digest").select(
+    return materialize(n_hit.join(named, "digest").select(
         "digest", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256")), "text-hits")
-    return (tokens.select("doc_id", "digest", F.size("words").cast("bigint").alias("n_words"))
+
+
+def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per row of ``docs`` (see ``text_hits``)."""
+    per_text = text_hits(docs, items)
+    return (docs.select("doc_id", _digest().alias("digest"), F.size(words_of("text")).cast("bigint").alias("n_words"))
             .join(per_text, "digest", "left").select(
                 "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                 F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
@@ -119,6 +128,12 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                 F.col("n_hit").isNotNull().alias("contaminated")))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose text shares a span with an item; columns stay as they are."""
+    hit = text_hits(docs, items).select(F.col("digest").alias("__digest"))
+    return docs.join(broadcast_measured(hit, 64), _digest() == F.col("__digest"), "anti")
+
+
 CONTAMINATION_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
