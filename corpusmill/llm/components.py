@@ -8,8 +8,7 @@ from corpusmill.llm.common import materialize
 
 
 def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.sum((F.col("u") % 1_000_003 + F.col("v") % 998_244_353))).first()
-    return tuple(row)
+    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("bit_xor(xxhash64(v, u, 1))")).first())
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:

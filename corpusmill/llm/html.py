@@ -355,8 +355,10 @@ def fit(pages: DataFrame) -> Forest:
     ``TRAINING_CHARS``. Where such a page marks its article, that is a label;
     its text is also put in ``DRESSINGS`` layouts whose parts are known.
     """
-    sample = (pages.where("html IS NOT NULL AND length(html) > 0").select(F.substring("html", 1, TRAINING_CHARS).alias("html"))
-              .orderBy(F.xxhash64("html"), "html").limit(TRAINING_PAGES).collect())
+    known = pages.where("html IS NOT NULL AND length(html) > 0").select("html", F.xxhash64("html").alias("code"))
+    lowest = [r["code"] for r in known.select("code").distinct().orderBy("code").limit(TRAINING_PAGES).collect()]
+    sample = known.where(F.col("code").isin(lowest)).groupBy("code").agg(
+        F.min(F.substring("html", 1, TRAINING_CHARS)).alias("html")).orderBy("code").collect()
     rng = random.Random(9)
     parsed = [parse(r["html"]) for r in sample]
     texts = []

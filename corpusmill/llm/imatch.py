@@ -14,7 +14,7 @@ from corpusmill.llm.suffix import _mix, _sums
 RAREST, COMMONEST = 0.0005, 0.1   # band of document frequency, as shares of all documents
 SUBSETS = 24                      # randomised lexicons per density
 MOST_LEVEL = 24                   # thinnest lexicon keeps one term in 2**24
-LOWEST = -(1 << 63)               # where a null id stands in the order of ids
+LOWEST = 1 - (1 << 63)            # where a null id stands in the order of ids
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _SEEDS = _mix(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))

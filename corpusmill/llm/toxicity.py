@@ -22,13 +22,14 @@ LEAST_WEIGHT = 3.0              # log odds ratio of an entry
 FEWEST = 3                      # labelled rows an entry or exception phrase needs
 MOST_EXCEPTIONS = 1_000
 LENGTH_POWERS = (0.0, 0.25, 0.5, 1.0)
+HIGHEST_BIAS = -0.05            # a text without a match is never predicted to be toxic
 
 # Letters that look like Latin ones (Cyrillic, Greek, others). Full-width letters follow by rule.
 HOMOGLYPHS = str.maketrans(
     "аеорсухіјѕԁԛԝһкмтвнгѵ" "αβεικνορτυχγω" "ıɑɡℓоօոս",
     "aeopcyxijsdqwhkmtbhrv" "abeiknoptuxyw" "iagloonu") | {c: c - 0xFEE0 for c in range(0xFF21, 0xFF5B)} | {
     c: None for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
-DIGITS = str.maketrans("013457@$!|", "oieastasil")
+DIGITS = str.maketrans("013457@$!|", "oieastasii")
 _LOOKALIKE = re.compile("[" + "".join(map(chr, HOMOGLYPHS)).replace("\\", "") + "]")
 _DIGIT = re.compile(r"[013457@$!|]")
 _INSIDE = re.compile(r"[013457@$!|]+(?=[^\W\d_])|(?<=[^\W\d_])[013457]+")
@@ -36,13 +37,16 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
-    """Lower case, look-alike letters as Latin ones, digits and signs next to letters as the letters they stand for."""
+    """Lower case, look-alike letters as Latin ones, digits and signs next to letters as the letters they stand for.
+
+    "1" may stand for i or l, so l is written as i throughout.
+    """
     text = text.lower()
     if not text.isascii() and _LOOKALIKE.search(text):
         text = text.translate(HOMOGLYPHS).lower()
     if _DIGIT.search(text):
         text = _INSIDE.sub(lambda m: m.group().translate(DIGITS), text)
-    return text
+    return text.replace("l", "i")
 
 
 def entries_of(text: str) -> set[str]:
@@ -56,7 +60,7 @@ def entries_of(text: str) -> set[str]:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Entries with weights, phrases in which an entry does not count, and the scale of the score."""
+    """Folded entries with weights, phrases in which an entry does not count, and the scale of the score."""
     lexicon: dict[str, float]
     exceptions: frozenset[str] = frozenset()
     power: float = 0.0
@@ -69,7 +73,7 @@ class Matcher:
 
     def __init__(self, model: ToxicityModel):
         self.model, self.machine = model, ahocorasick.Automaton()
-        for entry, weight in model.lexicon.items():
+        for entry in model.lexicon:
             self.machine.add_word(entry.removesuffix("$"), [])
         for entry, weight in model.lexicon.items():
             self.machine.get(entry.removesuffix("$")).append((entry, len(entry.removesuffix("$")), weight))
@@ -169,7 +173,7 @@ def fit(rows: DataFrame) -> ToxicityModel:
     sizes = {bool(r["t"]): r["n"] for r in rows.groupBy((F.col("toxic") > 0).alias("t")).agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
-    prior = ToxicityModel({}, bias=math.log(rate / (1 - rate)))
+    prior = ToxicityModel({}, bias=min(HIGHEST_BIAS, math.log(rate / (1 - rate))))
     if not n_toxic or not n_clean:
         return prior
 
@@ -219,7 +223,8 @@ def _scaled(model: ToxicityModel, rows: DataFrame) -> ToxicityModel:
         slope, bias, loss = _logistic_fit(x, y)
         if best is None or loss < best[0] - 1e-6:
             best = (loss, power, slope, bias)
-    return ToxicityModel(model.lexicon, model.exceptions, *best[1:])
+    _, power, slope, bias = best
+    return ToxicityModel(model.lexicon, model.exceptions, power, slope, min(HIGHEST_BIAS, bias))
 
 
 def _logistic_fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[float, float, float]:

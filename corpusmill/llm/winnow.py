@@ -43,6 +43,11 @@ def _window_texts(words: str, length: int, starts: Column) -> Column:
         i.alias("start"), F.lit(length).alias("len"), F.array_join(F.slice(words, i, length), " ").alias("words")))
 
 
+def _matched_starts(length: int) -> Column:
+    return F.filter(F.sequence(F.lit(1), F.size("words") - (length - 1)),
+                    lambda i: F.array_contains("matched", F.xxhash64(F.slice("words", i, length))))
+
+
 def benchmark_windows(items: DataFrame) -> DataFrame:
     """(item, len, words): every window of every item; an item shorter than a window is one window."""
     tokens = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of("text").alias("words"))
@@ -99,10 +104,7 @@ def text_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     around = F.filter(F.sequence(F.lit(1), F.size("grams") - (WINDOW - 1)),
                       lambda i: F.arrays_overlap(F.slice("grams", i, WINDOW), F.col("matched")))
     spans = [F.when(F.size("words") >= SPAN, _window_texts("words", SPAN, around))]
-    for n in short:
-        starts = F.filter(F.sequence(F.lit(1), F.size("words") - (n - 1)),
-                          lambda i, n=n: F.array_contains("matched", F.xxhash64(F.slice("words", i, n))))
-        spans.append(F.when(F.size("words") >= n, _window_texts("words", n, starts)))
+    spans += [F.when(F.size("words") >= n, _window_texts("words", n, _matched_starts(n))) for n in short]
     extended = suspects.select("digest", F.explode_outer(F.concat(*(F.coalesce(s, nothing) for s in spans))).alias("s")).select("digest", "s.*")
     hits = materialize(extended.join(windows.select("len", "words").distinct(), ["len", "words"]), "window-hits")
 
