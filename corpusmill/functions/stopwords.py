@@ -1,5 +1,7 @@
 """English stop words."""
 
+import re
+
 # The English list that Spark's StopWordsRemover ships.
 ENGLISH = """
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
@@ -16,9 +18,14 @@ would
 """.split()
 
 
-def word_list(name: str | None) -> list[str]:
+def as_tokens(words: list[str], pattern: str) -> list[str]:
+    """The words as the tokeniser cuts them: "don't" becomes "don"."""
+    return sorted({t for w in words for t in re.findall(pattern, w)})
+
+
+def word_list(name: str | None, pattern: str = r"\S+") -> list[str]:
     if name is None:
         return []
     if name == "english":
-        return ENGLISH
+        return as_tokens(ENGLISH, pattern)
     raise ValueError(f"unknown stop-word list: {name}")

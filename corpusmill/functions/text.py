@@ -62,7 +62,7 @@ def tokenize(text: Column, accents: str | None = "unicode") -> Column:
 
 
 def remove_stopwords(tokens: Column, stop_words: str | None = "english") -> Column:
-    words = word_list(stop_words)
+    words = word_list(stop_words, r"\w{2,}")
     if not words:
         return tokens
     return F.filter(tokens, lambda t: ~t.isin(words))

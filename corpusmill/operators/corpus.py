@@ -7,13 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusmill.config import FeatureConfig
 from corpusmill.functions.text import build_content, clean_text
 
-# file_order holds the class in the bits above, the row position below.
-_CLASS_SHIFT = 62
-
 
 def file_order(label: Column, position: Column) -> Column:
-    """One long that sorts like (class, row position): class 0 is read first."""
-    return F.shiftleft(label.cast("long"), _CLASS_SHIFT).bitwiseOR(position.cast("long"))
+    """Sorts like (class, row position): class 0 is read first, rows without a class last."""
+    return F.struct(label.isNull().alias("unlabelled"), label.alias("label"), position.alias("position"))
 
 
 def require_columns(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
@@ -49,25 +46,16 @@ def content_digest(content: Column, subject: Column | None = None) -> Column:
 def drop_exact_duplicates(df: DataFrame, with_subject: bool = False) -> DataFrame:
     """Keep the first row in file order of every content (and subject).
 
-    Needs ``doc_id``, ``content`` and ``label``. The group key is a digest and
-    the survivor is picked by ``min``/``min_by``, so equal rows collapse on the
-    map side and a text that fills a third of the corpus stays cheap. Columns
-    nobody reads afterwards are pruned out of the aggregate by Catalyst.
+    Needs ``doc_id``, ``content`` and ``label``; any id and a null label keep
+    their values. The group key is a digest and the survivor is picked by
+    ``min_by``, so equal rows collapse on the map side and a text that fills a
+    third of the corpus stays cheap. Columns nobody reads afterwards are pruned
+    out of the aggregate by Catalyst.
     """
     order = file_order(F.col("label"), F.col("doc_id"))
     digest = content_digest(F.col("content"), F.col("subject") if with_subject else None)
     keyed = df.withColumns({"_order": order, "_digest": digest})
-    carried = [c for c in df.columns if c not in ("doc_id", "label")]
-    mask = (1 << _CLASS_SHIFT) - 1
-    firsts = keyed.groupBy("_digest").agg(
-        F.min("_order").alias("_first"),
-        *[F.min_by(c, "_order").alias(c) for c in carried],
-    )
-    decoded = {
-        "doc_id": F.col("_first").bitwiseAND(F.lit(mask)),
-        "label": F.shiftright("_first", _CLASS_SHIFT).cast("int"),
-    }
-    return firsts.select(*[decoded[c].alias(c) if c in decoded else F.col(c) for c in df.columns])
+    return keyed.groupBy("_digest").agg(*[F.min_by(c, "_order").alias(c) for c in df.columns]).drop("_digest")
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
@@ -75,7 +63,13 @@ def drop_empty(df: DataFrame) -> DataFrame:
 
 
 def clean_frame(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """Row-preserving cleaning used at inference: no row is ever dropped."""
+    """Row-preserving cleaning used at inference.
+
+    Only with ``fill_missing_with_empty`` off are rows without title or text dropped.
+    """
+    if not config.fill_missing_with_empty:
+        missing = [c for c in ("title", "text") if c in df.columns]
+        df = df.where(" AND ".join(f"{c} IS NOT NULL" for c in missing))
     content = clean_text(build_content(F.col("title"), F.col("text")), config)
     keep = [c for c in ("doc_id", "label") if c in df.columns]
     subject = []

@@ -10,11 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusmill.session import broadcast_bounded
-
 BUCKET_DIGITS = 3
 BUCKETS = 16 ** BUCKET_DIGITS
-MAX_STRATA = 64
 
 
 def hash_order(doc_id: Column, seed: int) -> Column:
@@ -38,12 +35,12 @@ def cut_hashes(keyed: DataFrame, targets: DataFrame) -> DataFrame:
     # At most BUCKETS rows per stratum reach this window.
     filled = (keyed.groupBy("_stratum", "_bucket").agg(F.count("*").alias("_n"))
               .withColumn("_upto", F.sum("_n").over(running)))
-    located = (filled.join(F.broadcast(targets), "_stratum")
+    located = (filled.join(targets, "_stratum")
                .where((F.col("_rank") <= F.col("_upto"))
                       & (F.col("_rank") > F.col("_upto") - F.col("_n")))
                .select("_stratum", "_bucket", "_slot",
                        (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_offset")))
-    ranked = (keyed.join(F.broadcast(located), ["_stratum", "_bucket"])
+    ranked = (keyed.join(located, ["_stratum", "_bucket"])
               .withColumn("_pos", F.row_number().over(
                   Window.partitionBy("_stratum", "_bucket", "_slot").orderBy("_hash")))
               .where(F.col("_pos") == F.col("_offset")))
@@ -55,7 +52,6 @@ def cuts_below(df: DataFrame, cuts: DataFrame, stratum: str, hashed: Column) ->
 
     ``_cuts`` (null where the stratum has none) stays for the caller to drop.
     """
-    side = broadcast_bounded(cuts.withColumnRenamed("_stratum", stratum), MAX_STRATA, 4096)
-    joined = df.join(side, stratum, "left").withColumn("_hash", hashed)
+    joined = df.join(cuts.withColumnRenamed("_stratum", stratum), stratum, "left").withColumn("_hash", hashed)
     below = F.size(F.filter("_cuts", lambda c: c < F.col("_hash")))
     return joined.withColumn("_below", F.when(F.col("_cuts").isNull(), 0).otherwise(below))

@@ -164,8 +164,8 @@ def decision_scores(predicted: DataFrame) -> DataFrame:
 
 
 def feature_importance_linear(params: DataFrame, vocab: DataFrame, n: int = 20) -> DataFrame:
-    """The n largest and the n smallest weights with their terms."""
-    named = params.join(vocab.select("term", "term_idx"), "term_idx")
+    """The n largest and the n smallest weights with their terms; noise of a sum does not decide ties."""
+    named = params.join(vocab.select("term", "term_idx"), "term_idx").withColumn("w", F.round("w", 12))
     up = named.orderBy(F.desc("w"), "term").limit(n).withColumn("side", F.lit("positive"))
     down = named.orderBy("w", "term").limit(n).withColumn("side", F.lit("negative"))
     return up.unionByName(down).select("side", "term", "w")

@@ -50,21 +50,24 @@ def length_stats(df: DataFrame, *by: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
-    """Equal-width bins over each group's own range; empty bins have no row.
+    """Equal-width bins over each group's own range, empty ones included.
 
-    The range table has one row per group; ``by`` is a class column.
+    The range table has one row per group; ``by`` is a class column. Values
+    that are null are not counted; a group without values has no bins.
     """
     keys = [by] if by else []
-    ranges = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    ranges = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     if by:
-        ranged = df.select(by, value).join(broadcast_bounded(ranges, 64, 64), by)
+        ranged = df.select(by, value).join(ranges, by)
         low, high = F.col("_low"), F.col("_high")
     else:
+        ranges = ranges.where(F.col("_low").isNotNull())
         ranged = df.select(value)
         low = ranges.select("_low").scalar()
         high = ranges.select("_high").scalar()
-    bin_no = histogram_bin(F.col(value), low, high, bins)
-    return ranged.groupBy(*keys, bin_no.alias("bin")).agg(F.count("*").alias("n"))
+    counted = ranged.where(F.col(value).isNotNull()).groupBy(*keys, histogram_bin(F.col(value), low, high, bins).alias("bin")).agg(F.count("*").alias("n"))
+    every = ranges.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(bins)).cast("array<bigint>")).alias("bin"))
+    return every.join(counted, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def length_histogram(df: DataFrame, bins: int = 60, by: str | None = None) -> DataFrame:
@@ -117,13 +120,16 @@ def class_mean_weights(docs: DataFrame, config: FeatureConfig | None = None) ->
     weights = tfidf_transform(docs, vocab, config, "label")
     counts = docs.groupBy("label").agg(F.count("*").alias("class_n"))
     sums = weights.groupBy("label", "term").agg(F.sum("weight").alias("_w"))
-    return sums.join(broadcast_bounded(counts, 64, 32), "label").select(
+    return sums.join(counts, "label").select(
         "label", "term", (F.col("_w") / F.col("class_n")).alias("mean_weight"))
 
 
 def rank_terms(means: DataFrame) -> DataFrame:
-    """Rank inside each class; the input is capped by the vocabulary."""
-    order = Window.partitionBy("label").orderBy(F.desc("mean_weight"), "term")
+    """Rank inside each class; the input is capped by the vocabulary.
+
+    Means that differ by the noise of a sum are ties, broken by name.
+    """
+    order = Window.partitionBy("label").orderBy(F.desc(F.round("mean_weight", 12)), "term")
     return means.withColumn("rank", F.row_number().over(order))
 
 

@@ -15,8 +15,9 @@ def _sha3_256(texts: pd.Series) -> pd.Series:
 
 
 def row_text(columns: list[str]) -> Column:
-    """Unambiguous text of a row: nulls are marked, not skipped."""
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in columns])
+    """Unambiguous text of a row: every value follows its length, a null is a dash."""
+    values = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values])
 
 
 def row_fingerprint(df: DataFrame, columns: list[str], algo: str = "sha2_256") -> DataFrame:

@@ -71,9 +71,13 @@ def fit_scale(weights: DataFrame, n_docs: Column | int, *by: str) -> DataFrame:
     return sums.select(*by, "term_idx", F.coalesce(dev, F.lit(1.0)).alias("scale"))
 
 
-def apply_scale(weights: DataFrame, scale: DataFrame, max_features: int) -> DataFrame:
-    """Divide by the training scale; terms never seen in training keep theirs."""
-    side = broadcast_bounded(scale.select("term_idx", "scale"), max_features, 32)
+def apply_scale(weights: DataFrame, scale: DataFrame, max_features: int | None) -> DataFrame:
+    """Divide by the training scale; terms never seen in training keep theirs.
+
+    Without a bound on the columns (categories are not bounded) Spark chooses the join.
+    """
+    side = scale.select("term_idx", "scale")
+    side = side if max_features is None else broadcast_bounded(side, max_features, 32)
     return (weights.join(side, "term_idx", "left")
             .withColumn("weight", F.col("weight") / F.coalesce("scale", F.lit(1.0)))
             .drop("scale"))
@@ -125,12 +129,20 @@ class FittedFeatures:
     subjects: DataFrame | None = None
 
     def transform(self, docs: DataFrame, *keep: str, scaled: bool = False) -> DataFrame:
+        """Weighted postings; with ``include_subject`` the one-hot block follows the text columns."""
         weights = tfidf_transform(docs, self.vocab, self.config, *keep)
+        if self.config.include_subject:
+            if self.subjects is None:
+                raise ValueError("subject features requested but no encoder was fitted")
+            block = docs.select("doc_id", *keep, "subject").join(self.subjects, "subject").select(
+                "doc_id", *keep, F.col("subject").alias("term"), (F.col("subject_idx") + row_count(self.vocab)).cast("int").alias("term_idx"),
+                F.lit(1).cast("long").alias("tf"), F.lit(1.0).alias("weight"))
+            weights = weights.unionByName(block)
         if not scaled:
             return weights
         if self.scale is None:
             raise ValueError("scaled features requested but no scale was fitted")
-        return apply_scale(weights, self.scale, self.config.max_features)
+        return apply_scale(weights, self.scale, None if self.config.include_subject else self.config.max_features)
 
 
 def fit_features(train: DataFrame, config: FeatureConfig = FeatureConfig()) -> FittedFeatures:

@@ -43,13 +43,13 @@ def load_labelled_pair(spark, sf):
 
 
 @query("load_external", W_LABELLED + f"""SELECT doc_id, title, text, label FROM labelled
-WHERE subject IN ({S.OUTSIDE}) ORDER BY doc_id LIMIT {FIRST_ROWS}""")
+WHERE subject IN ({S.OUTSIDE})""")
 def load_external(spark, sf):
     path = scratch_path(spark, "external")
     (I.external(I.labelled(spark, sf)).select("doc_id", "title", "text", F.col("label").alias("target"))
      .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
     schema = "doc_id long, title string, text string, target int"
-    return R.load_external(spark, path, schema, limit=FIRST_ROWS).select("doc_id", "title", "text", "label")
+    return R.load_external(spark, path, schema).select("doc_id", "title", "text", "label")
 
 
 @query("load_csv_optional_label", S.with_(S.ARTICLES) + "SELECT doc_id, title, text, subject FROM articles")
@@ -266,9 +266,11 @@ def length_stats_by_class(spark, sf):
 def bins_sql(source, value, n, by=""):
     part = f"PARTITION BY {by}" if by else ""
     keys = f"{by}, " if by else ""
-    return f"""SELECT {keys}bin, count(*) AS n FROM (SELECT {keys}CASE WHEN hi = lo THEN {n // 2 + 1} ELSE
+    counted = f"""SELECT {keys}bin, count(*) AS n FROM (SELECT {keys}CASE WHEN hi = lo THEN {n // 2 + 1} ELSE
 CAST(least(floor(({value} - lo) / (hi - lo)::DOUBLE * {n}) + 1, {n}) AS BIGINT) END AS bin FROM
 (SELECT *, min({value}) OVER ({part}) AS lo, max({value}) OVER ({part}) AS hi FROM {source})) GROUP BY ALL"""
+    every = f"SELECT * FROM (SELECT DISTINCT {by} FROM {source}), range(1, {n + 1}) r(bin)" if by else f"SELECT range AS bin FROM range(1, {n + 1})"
+    return f"SELECT {keys}bin, coalesce(n, 0) AS n FROM ({every}) LEFT JOIN ({counted}) USING ({keys}bin)"
 
 
 @query("length_histogram", S.with_(*S.CORPUS, LENGTHS) + bins_sql("lens", "words", 60))
@@ -344,7 +346,7 @@ def class_mean_tfidf(spark, sf):
 
 
 RANKED = """SELECT label, term, round(mean_weight, 6) AS mean_weight,
-CAST(row_number() OVER (PARTITION BY label ORDER BY mean_weight DESC, term) AS INTEGER) AS rank FROM means"""
+CAST(row_number() OVER (PARTITION BY label ORDER BY round(mean_weight, 12) DESC, term) AS INTEGER) AS rank FROM means"""
 
 
 @query("top_tokens_per_class", S.with_(*EDA_TFIDF) + f"SELECT * FROM ({RANKED}) WHERE rank <= 20")
@@ -352,21 +354,10 @@ def top_tokens_per_class(spark, sf):
     return rounded(P.top_tokens_per_class(I.corpus(spark, sf), config=P.eda_config(EDA_CAP)))
 
 
-def _rank_sql():
-    return S.with_(*S.CORPUS, *S.postings("corpus", extra=", label"),
-                   "counts AS (SELECT label, term, CAST(sum(tf) AS DOUBLE) AS mean_weight FROM posts GROUP BY ALL)") + \
-        "SELECT label, term, mean_weight, CAST(row_number() OVER (PARTITION BY label ORDER BY mean_weight DESC, term) AS INTEGER) AS rank " \
-        "FROM counts SEMI JOIN (SELECT term FROM counts GROUP BY term ORDER BY sum(mean_weight) DESC, term LIMIT 5000) USING (term)"
-
-
-@query("rank_terms", _rank_sql())
+@query("rank_terms", S.with_(*EDA_TFIDF) + RANKED)
 def rank_terms(spark, sf):
-    """Terms of the capped vocabulary ranked by their count in each class."""
-    posts = X.postings(I.corpus(spark, sf), FeatureConfig(), "label")
-    top = X.top_terms(X.term_stats(posts), 5000).select("term")
-    counts = posts.join(top, "term", "left_semi").groupBy("label", "term").agg(
-        F.sum("tf").cast("double").alias("mean_weight"))
-    return P.rank_terms(counts)
+    """All terms of the fitted vocabulary ranked by mean weight in each class."""
+    return rounded(P.rank_terms(P.class_mean_weights(I.corpus(spark, sf), P.eda_config(EDA_CAP))))
 
 
 # --- tokens and terms -----------------------------------------------------------

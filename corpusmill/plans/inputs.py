@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusmill.config import FeatureConfig
 from corpusmill.operators.corpus import clean_frame, drop_empty, drop_exact_duplicates, prepare_corpus
 from corpusmill.operators.split import stratified_split
-from corpusmill.session import materialize, spread_small
+from corpusmill.session import materialize
 
 EXTERNAL_SOURCES = ["src15", "src16", "src17", "src18", "src19"]
 
@@ -19,11 +19,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents; the first line is the title, the rest the text."""
+    """All documents; the first line is the title, the rest the text.
+
+    They are dealt by ``doc_id``, the key of the joins that follow, so tasks
+    are even however the files were cut.
+    """
     title = F.substring_index("text", "\n", 1)
     body = F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)")
     documents = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
-    return spread_small(documents, "doc_id").select(
+    return documents.repartition("doc_id").select(
         "doc_id", title.alias("title"), body.alias("text"), F.col("source").alias("subject"),
         "lang", F.col("doc_id").cast("string").alias("date"))
 

@@ -130,8 +130,8 @@ def running_metrics(spark, sf):
     return rounded(U.running_metrics(I.scored(spark, sf), batch_size=50))
 
 
-@query("score_histogram", W + "SELECT bin, n FROM (" + "SELECT bin, count(*) AS n FROM (SELECT CAST(least(floor((score - lo) / (hi - lo) * 20) + 1, 20) AS BIGINT) AS bin "
-       "FROM (SELECT score, min(score) OVER () AS lo, max(score) OVER () AS hi FROM scored)) GROUP BY bin)")
+@query("score_histogram", W + "SELECT bin, coalesce(n, 0) AS n FROM (SELECT range AS bin FROM range(1, 21)) LEFT JOIN (" + "SELECT bin, count(*) AS n FROM (SELECT CAST(least(floor((score - lo) / (hi - lo) * 20) + 1, 20) AS BIGINT) AS bin "
+       "FROM (SELECT score, min(score) OVER () AS lo, max(score) OVER () AS hi FROM scored)) GROUP BY bin) USING (bin)")
 def score_histogram(spark, sf):
     return histogram(I.scored(spark, sf), "score", 20)
 

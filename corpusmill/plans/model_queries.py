@@ -118,8 +118,7 @@ SELECT side, term, round(w * 1000, 6) AS w FROM ((SELECT 'positive' AS side, ter
 UNION ALL (SELECT 'negative', term, w FROM n ORDER BY round(w, 12), term LIMIT 20))""")
 def feature_importance_linear(spark, sf):
     r, model = _descend(spark, sf)
-    params = model.weight_frame(spark).withColumn("w", F.round("w", 12))
-    top = G.feature_importance_linear(params, r.vocab)
+    top = G.feature_importance_linear(model.weight_frame(spark), r.vocab)
     return rounded(top.withColumn("w", F.col("w") * 1000))
 
 
@@ -421,7 +420,7 @@ def stream_dedup_watermark(spark, sf):
 # --- protection -------------------------------------------------------------------
 
 DOC_COLUMNS = ["doc_id", "source", "lang", "text"]
-ROW_SQL = "concat_ws(chr(1), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(2))" for c in DOC_COLUMNS) + ")"
+ROW_SQL = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in DOC_COLUMNS)
 
 
 @query("row_fingerprint", f"SELECT doc_id, sha256({ROW_SQL}) AS fingerprint FROM documents")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.functions.accents import translate_table
-from corpusmill.functions.stopwords import ENGLISH
+from corpusmill.functions.stopwords import ENGLISH, as_tokens
 from corpusmill.functions.text import EMAIL, TOKEN, URL, URL_EMAIL
 from corpusmill.plans.inputs import EXTERNAL_SOURCES
 
@@ -12,7 +11,7 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-STOP = ", ".join(quoted(w) for w in ENGLISH)
+STOP = ", ".join(quoted(w) for w in as_tokens(ENGLISH, r"\w{2,}"))
 OUTSIDE = ", ".join(quoted(s) for s in EXTERNAL_SOURCES)
 
 
@@ -77,9 +76,8 @@ def folds(source: str, name: str, k: int = 5, seed: int = 42, column: str = "fol
 
 
 def folded(expr: str) -> str:
-    """Accent folding."""
-    source, target = translate_table()
-    return f"translate({expr}, {quoted(source)}, {quoted(target)})"
+    """Accent folding, by DuckDB's own rule."""
+    return f"strip_accents({expr})"
 
 
 def tokens(source: str, name: str = "toks", accents: bool = True, extra: str = "", stop: bool = True) -> str:

@@ -62,17 +62,6 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that is read in fewer tasks than there are cores.
-
-    Text cleaning costs far more than moving such an input, which is under
-    cores x spark.sql.files.maxPartitionBytes. Larger inputs fill the cluster
-    by themselves and are left as they are scanned.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def broadcast_bounded(df: DataFrame, max_rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast when the largest possible side is small enough.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusmill.operators.corpus import fill_missing, union_classes
+from corpusmill.session import materialize
 
 ARTICLE = "title string, text string, subject string, date string"
 EXTERNAL = "title string, text string, label int"
@@ -16,25 +17,35 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
-def number_rows(df: DataFrame) -> DataFrame:
-    """Add ``doc_id`` in reading order, for sources without an identifier.
+def read_numbered(spark: SparkSession, path: str, schema: str, first: int = 0) -> DataFrame:
+    """Rows with ``doc_id`` from ``first`` on, in the order of file paths and of rows inside a file.
 
-    Write the result once and go on from the written table: the numbers depend
-    on how the files were divided into partitions.
+    A file with multi-line cells is never divided, so its rows are read one
+    after the other in one task. They are written with their places; the
+    numbers then do not depend on how files were put into tasks.
     """
-    return df.withColumn("doc_id", F.monotonically_increasing_id())
+    raw = read_csv(spark, path, schema)
+    names = raw.columns
+    if "doc_id" in names:
+        return raw
+    placed = materialize(raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place")), "numbered")
+    # One row per file.
+    files = placed.groupBy("_file").agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(offsets, "_file").select(*names, (F.col("_place") - F.col("_start") + F.col("_before") + first).alias("doc_id"))
 
 
 def load_labelled_pair(spark: SparkSession, zeros: str, ones: str, schema: str = ARTICLE) -> DataFrame:
     """One source per class, class 0 first."""
-    both = union_classes(read_csv(spark, zeros, schema), read_csv(spark, ones, schema))
-    return both if "doc_id" in both.columns else number_rows(both)
+    class_0 = read_numbered(spark, zeros, schema)
+    taken = 0 if "doc_id" in spark.createDataFrame([], schema).columns else class_0.count()
+    return union_classes(class_0, read_numbered(spark, ones, schema, taken))
 
 
 def load_external(spark: SparkSession, path: str, schema: str = EXTERNAL, limit: int | None = None) -> DataFrame:
     """Second corpus: nulls become empty texts; optionally its first rows only."""
-    df = fill_missing(normalize_label(read_csv(spark, path, schema)))
-    df = df if "doc_id" in df.columns else number_rows(df)
+    df = fill_missing(normalize_label(read_numbered(spark, path, schema)))
     return df if limit is None else limit_rows(df, limit)
 
 
@@ -55,5 +66,4 @@ def load_csv_optional_label(spark: SparkSession, path: str) -> DataFrame:
     header = spark.read.options(**CSV_OPTIONS).csv(path).columns
     types = {"label": "int", "target": "int", "doc_id": "bigint"}
     schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header)
-    df = fill_missing(normalize_label(read_csv(spark, path, schema)))
-    return df if "doc_id" in df.columns else number_rows(df)
+    return fill_missing(normalize_label(read_numbered(spark, path, schema)))

@@ -1,5 +1,6 @@
 """Cleaning and de-duplication rules on small hand-made rows."""
 
+import sys
 import unicodedata
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.config import FeatureConfig
 from corpusmill.functions import text as T
-from corpusmill.functions.accents import fold, strip_accents, translate_table
+from corpusmill.functions.accents import fold, strip_accents
 from corpusmill.operators import corpus as C
 from corpusmill.sources import readers as R
 
@@ -91,13 +92,38 @@ def test_word_count_and_preview(spark):
 def test_accents_follow_the_unicode_rule(spark):
     text = "Résumé Ångström naïve Ελλάδα й ﬁ ½ é plain"
     df = spark.createDataFrame([(text,), ("ascii",)], "t string")
-    full = [r[0] for r in df.select(strip_accents(F.col("t"), "unicode_full")).collect()]
-    assert full == [fold(text), "ascii"]
-    quick = df.select(strip_accents(F.col("t"), "unicode")).first()[0]
-    assert quick.startswith("Resume Angstrom naive Ελλαδα и") and quick.endswith("e plain")
-    source, target = translate_table()
-    assert all(unicodedata.normalize("NFKD", s)[0] == t for s, t in zip(source, target)
-               if not unicodedata.combining(unicodedata.normalize("NFKD", s)[0]))
+    for mode in ("unicode", "unicode_full"):
+        assert [r[0] for r in df.select(strip_accents(F.col("t"), mode)).collect()] == [fold(text), "ascii"]
+
+
+def test_every_code_point_folds_like_nfkd(spark):
+    points = [p for p in range(1, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF and unicodedata.category(chr(p)) != "Cn"]
+    points = [p for p in points if fold(chr(p)) != chr(p) or p % 97 == 0]
+    df = spark.createDataFrame([(p, f"a{chr(p)}z") for p in points], "p int, t string").select("p", strip_accents(F.col("t"), "unicode").alias("f"))
+    wrong = [r.p for r in df.collect() if r.f != "a" + fold(chr(r.p)) + "z"]
+    assert wrong == []
+
+
+def test_duplicates_keep_odd_ids_and_missing_labels(spark):
+    odd = [(-5, 0), (2**62 + 7, 0), (-(2**63), 1), (7, 1), (8, None)]
+    df = rows(spark, *[(i, "t", f"text {i}", "s", "d", label) for i, label in odd], (9, "t", "text 8", "s", "d", 1), (10, "t", "text 8", "s", "d", None))
+    assert {(r.doc_id, r.label) for r in C.prepare_corpus(df).collect()} == {(-5, 0), (2**62 + 7, 0), (-(2**63), 1), (7, 1), (9, 1)}
+
+
+def test_rows_without_a_text_go_only_if_gaps_are_not_filled(spark):
+    df = rows(spark, (1, None, "Body", "s", "d", 0), (2, "Head", "x", "s", "d", 1))
+    assert contents(C.prepare_corpus(df, FeatureConfig(fill_missing_with_empty=False))) == {2: "head x"}
+
+
+def test_files_are_numbered_by_path_not_by_size(spark, tmp_path):
+    for label, side in enumerate(("zero", "one")):
+        (tmp_path / side).mkdir()
+        for name, n in (("a", 3), ("b", 4000), ("c", 40)):
+            (tmp_path / side / f"{name}.csv").write_text("title,text,subject,date\n" + "".join(f"{side}{name}{i},x,s,d\n" for i in range(n)))
+    want = [f"{side}{name}{i}" for side in ("zero", "one") for name, n in (("a", 3), ("b", 4000), ("c", 40)) for i in range(n)]
+    for _ in range(2):
+        got = R.load_labelled_pair(spark, str(tmp_path / "zero"), str(tmp_path / "one")).orderBy("doc_id").collect()
+        assert [r.title for r in got] == want and [r.doc_id for r in got] == list(range(len(want)))
 
 
 def test_built_in_folding_is_exact_on_the_documents(spark, sf_dir):
