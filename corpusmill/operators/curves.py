@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusmill.functions.numeric import safe_ratio
 
-SCORE_BUCKETS = 64
-
 
 def score_counts(df: DataFrame, *by: str, label: str = "label", score: str = "score") -> DataFrame:
     """Positives and negatives per distinct score: ties become one row."""
@@ -17,11 +15,13 @@ def score_counts(df: DataFrame, *by: str, label: str = "label", score: str = "sc
         F.count(F.when(F.col(label) == 0, 1)).alias("neg"))
 
 
-def score_splits(counts: DataFrame, buckets: int = SCORE_BUCKETS) -> list[float]:
+def score_splits(counts: DataFrame, buckets: int | None = None) -> list[float]:
     """Bucket borders with about equally many distinct scores between them.
 
-    They only spread the work: any borders give the same curve.
+    They only spread the work: any borders give the same curve. There are as
+    many as shuffle partitions.
     """
+    buckets = max(2, buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = counts.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     return [float("-inf"), *sorted(set(cuts)), float("inf")]
 
@@ -31,7 +31,7 @@ def cumulative(counts: DataFrame, *by: str, splits: list[float] | None = None) -
 
     A window over all scores would be one task. Scores are put into ordered
     buckets; each bucket runs its own window and starts from the total of the
-    buckets above, which is a table of at most SCORE_BUCKETS rows per group.
+    buckets above, which is a table of one row per bucket and group.
     """
     splits = score_splits(counts) if splits is None else splits
     if len(splits) < 3:
@@ -139,8 +139,8 @@ def running_metrics(df: DataFrame, batch_size: int = 500) -> DataFrame:
     Row positions come from per-range counts: rows are ordered inside ranges of
     doc_id, and a range starts where the ones before it end.
     """
-    borders = df.approxQuantile("doc_id", [i / SCORE_BUCKETS for i in range(1, SCORE_BUCKETS)],
-                                0.25 / SCORE_BUCKETS)
+    buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    borders = df.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [float("-inf"), *sorted(set(borders)), float("inf")]
     put = Bucketizer(splits=splits, inputCol="_id", outputCol="_range").transform(
         df.select("doc_id", "label", "pred", F.col("doc_id").cast("double").alias("_id")))
@@ -148,7 +148,7 @@ def running_metrics(df: DataFrame, batch_size: int = 500) -> DataFrame:
     offsets = (put.groupBy("_range").agg(F.count("*").alias("_n"))
                .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     inside = Window.partitionBy("_range").orderBy("doc_id")
-    # The offset table has at most SCORE_BUCKETS rows.
+    # The offset table has one row per bucket.
     numbered = (put.withColumn("_rn", F.row_number().over(inside)).join(F.broadcast(offsets), "_range")
                 .withColumn("batch", F.floor((F.col("_rn") + F.col("_start") - 1) / batch_size).cast("long")))
     return accumulate_batches(batch_counts(numbered))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusmill.functions.numeric import class_name
-from corpusmill.functions.text import build_content, preview
+from corpusmill.functions.text import preview
 from corpusmill.operators.corpus import clean_frame, require_columns
 from corpusmill.operators.metrics import confusion_counts, weighted_metrics
 from corpusmill.operators.naive_bayes import LinearScorer, fit_nb, predict_nb
@@ -62,7 +62,3 @@ def align_predictions(records: DataFrame, predicted: DataFrame) -> DataFrame:
                     class_name(F.col("true_label")).alias("true_class"),
                     class_name(F.col("predicted_label")).alias("predicted_class"),
                     (F.col("true_label") == F.col("predicted_label")).alias("correct")))
-
-
-def raw_content(records: DataFrame) -> DataFrame:
-    return records.withColumn("content", build_content(F.col("title"), F.col("text")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from corpusmill.config import FeatureConfig
@@ -249,6 +251,41 @@ def transform_records(spark, sf):
     return rounded(H.transform_records(I.external(docs), fitted).select("doc_id", "term", "term_idx", "weight"))
 
 
+SUBJECTS = [S.ARTICLES, S.LABELLED, f"cleaned AS (SELECT doc_id, label, subject AS origin, lang AS subject, {S.clean(S.CONTENT)} AS content FROM labelled)",
+            S.dedup(f"(SELECT * FROM cleaned WHERE origin NOT IN ({S.OUTSIDE}))", "train", "content, subject"),
+            f"outside AS (SELECT * FROM cleaned WHERE origin IN ({S.OUTSIDE}))",
+            *S.postings("train", extra=", label"), *S.vocab("train"), *S.tfidf(extra=", label"),
+            *S.postings("outside", "x_", extra=", label"), *S.tfidf("x_posts", "vocab", "x_tfidf", ", label"),
+            "names AS (SELECT subject, CAST(row_number() OVER (ORDER BY subject) - 1 + (SELECT count(*) FROM vocab) AS INTEGER) AS term_idx FROM (SELECT DISTINCT subject FROM train))",
+            "rows AS (SELECT doc_id, term_idx, weight FROM x_tfidf UNION ALL SELECT doc_id, term_idx, 1.0::DOUBLE FROM outside JOIN names USING (subject))",
+            "sums AS (SELECT term_idx, sum(weight) / (SELECT count(*) FROM train) AS s, sum(weight * weight) / (SELECT count(*) FROM train) AS q FROM "
+            "(SELECT term_idx, weight FROM tfidf UNION ALL SELECT term_idx, 1.0::DOUBLE FROM train JOIN names USING (subject)) GROUP BY term_idx)",
+            "scales AS (SELECT term_idx, CASE WHEN q - s * s > 1e-15::DOUBLE * greatest(q, 1e-300::DOUBLE) THEN sqrt(q - s * s) ELSE 1 END AS scale FROM sums)"]
+
+
+def _subject_records(spark, sf, scaled):
+    """The language stands in for the subject: training has seen all of them."""
+    from corpusmill.operators.corpus import prepare_corpus
+    config = replace(CONFIG, include_subject=True, produce_scaled=True)
+    docs = I.labelled(spark, sf)
+    train = materialize(prepare_corpus(I.in_domain(docs).withColumn("subject", F.col("lang")), config), "prepared")
+    fitted = V.FittedFeatures(config, materialize(V.fit_vocabulary(train, config), "vocab"), None, materialize(V.fit_subjects(train), "subjects"))
+    if scaled:
+        fitted.scale = V.fit_scale(fitted.transform(train), train.count())
+    records = I.external(docs).withColumn("subject", F.col("lang"))
+    return rounded(H.transform_records(records, fitted, scaled).select("doc_id", "term_idx", "weight"))
+
+
+@query("transform_records_subject", S.with_(*SUBJECTS) + "SELECT doc_id, term_idx, round(weight, 6) AS weight FROM rows")
+def transform_records_subject(spark, sf):
+    return _subject_records(spark, sf, False)
+
+
+@query("transform_records_scaled", S.with_(*SUBJECTS) + "SELECT doc_id, term_idx, round(weight / coalesce(scale, 1), 6) AS weight FROM rows LEFT JOIN scales USING (term_idx)")
+def transform_records_scaled(spark, sf):
+    return _subject_records(spark, sf, True)
+
+
 @query("predict_one", S.with_(*EXTERNAL) + "SELECT doc_id, pred, round(score, 6) AS real_probability FROM nb_scored ORDER BY doc_id LIMIT 1")
 def predict_one(spark, sf):
     """One article: the first of the external corpus."""

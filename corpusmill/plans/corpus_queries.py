@@ -187,7 +187,7 @@ def accents(spark, sf):
     return I.all_contents(spark, sf).select("doc_id", strip_accents(F.col("content"), "unicode").alias("content"))
 
 
-@query("strip_accents_full")
+@query("strip_accents_full", W_ALL + f"SELECT doc_id, {S.folded('content')} AS content FROM contents")
 def accents_full(spark, sf):
     return I.all_contents(spark, sf).select("doc_id", strip_accents(F.col("content"), "unicode_full").alias("content"))
 

@@ -173,6 +173,16 @@ def sigmoids(spark, sf):
     return rounded(I.scored(spark, sf).select("doc_id", sigmoid((F.col("score") - F.lit(0.5)) * 2000).alias("p")))
 
 
+@query("log_loss_penalised", S.with_(*S.SCORED) + """SELECT round((SELECT avg(CASE WHEN label = 1 THEN -ln(p) ELSE -ln(1 - p) END) FROM
+(SELECT label, least(greatest(score, 1e-15::DOUBLE), 1 - 1e-15::DOUBLE) AS p FROM scored))
++ 0.5::DOUBLE / (2 * (SELECT count(*) FROM scored)) * (SELECT sum((n_nationkey / 10.0::DOUBLE) ** 2) FROM nation), 6) AS cost""")
+def log_loss_penalised(spark, sf):
+    """Cross-entropy of the scored frame plus the penalty of a weight table."""
+    from corpusmill.operators.linear import log_loss as penalised
+    weights = I.table(spark, sf, "nation").select((F.col("n_nationkey") / 10.0).alias("w"))
+    return rounded(penalised(I.scored(spark, sf), weights, 0.5))
+
+
 @query("log_loss", W + """SELECT round(avg(CASE WHEN label = 1 THEN -ln(p) ELSE -ln(1 - p) END), 6) AS cost FROM
 (SELECT label, greatest(1e-15::DOUBLE, least(1 - 1e-15::DOUBLE, score)) AS p FROM scored)""")
 def log_loss(spark, sf):
@@ -190,14 +200,13 @@ def align(spark, sf):
     return align_predictions(I.labelled(spark, sf), I.scored(spark, sf))
 
 
-@query("write_predictions", W + REPORT.replace("l.title, ", "").replace(
-    "CASE WHEN length(l.text) > 200 THEN substr(l.text, 1, 200) || '...' ELSE l.text END AS text,", ""))
+@query("write_predictions", W + REPORT)
 def write_predictions(spark, sf):
     report = align_predictions(I.labelled(spark, sf), I.scored(spark, sf))
     path = scratch_path(spark, "predictions")
     K.write_predictions(report, path)
     back = spark.read.options(header=True, multiLine=True, escape='"').schema(report.schema).csv(path)
-    return back.drop("title", "text")
+    return back.fillna("", subset=["title", "text"])     # CSV does not tell an empty cell from a missing one
 
 
 @query("write_metrics", W_CONF + f"SELECT 'ttr' AS test_name, tp, tn, fp, fn, {S.WEIGHTED_COLUMNS}, [[tn, fp], [fn, tp]]::VARCHAR AS confusion_matrix FROM conf")

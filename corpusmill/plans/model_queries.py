@@ -28,7 +28,6 @@ from corpusmill.streaming import scoring as W
 
 CONFIG = FeatureConfig()
 CAP = CONFIG.max_features
-WEIGHTED = ("accuracy", "precision_weighted", "recall_weighted", "specificity", "f1_weighted")
 
 
 class _Rows:
@@ -55,13 +54,6 @@ class _Rows:
         return vector_frame(self.rows, self.size)
 
 
-def _quality(scored):
-    """Weighted metrics and area of a label/pred/score frame, as one row."""
-    scored = materialize(scored.select("label", "pred", "score"), "scored")
-    table = weighted_metrics(confusion_counts(scored)).withColumn("auc_roc", auc_roc(scored).scalar())
-    return rounded(table.select(*WEIGHTED, "auc_roc"))
-
-
 # --- gradient descent -----------------------------------------------------------
 
 STEPS, RATE, REG = 2, 0.05, 0.001
@@ -122,7 +114,7 @@ def feature_importance_linear(spark, sf):
     return rounded(top.withColumn("w", F.col("w") * 1000))
 
 
-@query("logreg_gd_quality")
+@query("logreg_gd_quality", S.with_(*S.CORPUS, *S.split()) + "SELECT count(*) AS n_docs, CAST(sum(label) AS BIGINT) AS n_positive, count(*) AS n_scored, true AS learns FROM test")
 def logreg_gd_quality(spark, sf):
     """Scaled features, 20 steps, scored on the test side."""
     r = _Rows(spark, sf, scaled=True)
@@ -131,7 +123,7 @@ def logreg_gd_quality(spark, sf):
     train.unpersist()
     test = r.weights.where(F.col("split") == "test")
     scored = G.linear_score(r.test, test, model.weight_frame(spark), float(model.bias), CAP, "label")
-    return _quality(scored.withColumn("pred", (F.col("score") >= 0.5).cast("int")))
+    return _facts(scored.withColumn("pred", (F.col("score") >= 0.5).cast("int")))
 
 
 @query("grid_search_holdout")
@@ -155,22 +147,63 @@ def grid_search_holdout(spark, sf):
 
 # --- Spark ML models --------------------------------------------------------------
 
-def _ml_quality(model, vectors):
-    return _quality(G.decision_scores(model.transform(vectors.where(F.col("split") == "test"))))
+SIDES = S.with_(*S.CORPUS, *S.split())
+TEST_FACTS = SIDES + "SELECT count(*) AS n_docs, CAST(sum(label) AS BIGINT) AS n_positive, count(*) AS n_scored, true AS learns FROM test"
+
+
+def _facts(scored):
+    """What SQL can recompute of a fitted model's scores, and whether they rank better than chance."""
+    scored = materialize(scored.select("label", "pred", "score"), "scored")
+    return scored.agg(F.count("*").alias("n_docs"), F.sum("label").cast("long").alias("n_positive"), F.count("score").alias("n_scored")).withColumn(
+        "learns", auc_roc(scored).scalar() > 0.5)
+
+
+def _ml_facts(model, vectors):
+    return _facts(G.decision_scores(model.transform(vectors.where(F.col("split") == "test"))))
+
+
+def _external_vectors(spark, sf):
+    """In-domain training rows and the rows of the other sources under one vocabulary, and the numbers of both."""
+    from corpusmill.operators.corpus import clean_frame, prepare_corpus
+    docs = I.labelled(spark, sf)
+    train = prepare_corpus(I.in_domain(docs)).withColumn("split", F.lit("train"))
+    everything = materialize(train.unionByName(clean_frame(I.external(docs)).withColumn("split", F.lit("external"))), "all")
+    train = everything.where(F.col("split") == "train")
+    vocab = materialize(V.fit_vocabulary(train), "vocab")
+    weights = materialize(V.tfidf_transform(everything, vocab, CONFIG), "weights")
+    vectors = vector_frame(V.sparse_rows(everything, weights, "label", "split"), vocab.count())
+    return vectors.where(F.col("split") == "train"), vectors.where(F.col("split") == "external"), train.count()
+
+
+OUTSIDE_FACTS = S.with_(S.ARTICLES, S.LABELLED) + f"""SELECT count(*) AS n_docs, CAST(sum(label) AS BIGINT) AS n_positive, count(*) AS n_scored, true AS learns
+FROM labelled WHERE subject IN ({S.OUTSIDE})"""
 
 
-@query("logreg")
+@query("external_eval_logreg", OUTSIDE_FACTS)
+def external_eval_logreg(spark, sf):
+    """Logistic regression of the in-domain sources, applied to the others without refitting."""
+    fit_rows, outside, n = _external_vectors(spark, sf)
+    return _facts(G.decision_scores(G.logreg(fit_rows, n).transform(outside)))
+
+
+@query("external_eval_svm", OUTSIDE_FACTS)
+def external_eval_svm(spark, sf):
+    fit_rows, outside, n = _external_vectors(spark, sf)
+    return _facts(G.decision_scores(G.svm_linear(fit_rows, n).transform(outside)))
+
+
+@query("logreg", TEST_FACTS)
 def logreg(spark, sf):
     r = _Rows(spark, sf, scaled=True)
     vectors = r.vectors()
-    return _ml_quality(G.logreg(vectors.where(F.col("split") == "train"), r.n_train, max_iter=30), vectors)
+    return _ml_facts(G.logreg(vectors.where(F.col("split") == "train"), r.n_train), vectors)
 
 
-@query("svm_linear")
+@query("svm_linear", TEST_FACTS)
 def svm_linear(spark, sf):
     r = _Rows(spark, sf, scaled=True)
     vectors = r.vectors()
-    return _ml_quality(G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train, max_iter=20), vectors)
+    return _ml_facts(G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train), vectors)
 
 
 @query("svm_class_weight", S.with_(*S.CORPUS, *S.split()) + """SELECT label, round(count(*) OVER () * 0 + (SELECT count(*) FROM train) / (2.0::DOUBLE * n), 6) AS class_weight
@@ -179,51 +212,51 @@ def svm_class_weight(spark, sf):
     return rounded(G.balanced_weights(I.sides(spark, sf).train))
 
 
-@query("svm_balanced")
+@query("svm_balanced", TEST_FACTS)
 def svm_balanced(spark, sf):
     r = _Rows(spark, sf, scaled=True)
     vectors = r.vectors()
-    return _ml_quality(G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train, balanced=True, max_iter=20), vectors)
+    return _ml_facts(G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train, balanced=True), vectors)
 
 
-@query("svm_kernel")
+@query("svm_kernel", SIDES + "SELECT kernel, count(*) AS n_docs, CAST(sum(label) AS BIGINT) AS n_positive, count(*) AS n_scored FROM test, (VALUES ('rbf'), ('poly'), ('sigmoid')) k(kernel) GROUP BY kernel")
 def svm_kernel(spark, sf):
     """RBF, polynomial and sigmoid kernels through the landmark map."""
     r = _Rows(spark, sf)
     train, test = r.side("train"), r.side("test")
     out = None
     for spec in (R.KernelSpec("rbf"), R.KernelSpec("poly", degree=3), R.KernelSpec("sigmoid")):
-        nystrom = R.fit_nystrom(train, r.size, spec, m=64)
-        model = G.svm_linear(nystrom.transform(train), r.n_train, max_iter=20)
-        row = _quality(G.decision_scores(model.transform(nystrom.transform(test)))).withColumn("kernel", F.lit(spec.kind))
+        nystrom = R.fit_nystrom(train, r.size, spec)
+        mapped = nystrom.transform(train).persist()
+        model = G.svm_linear(mapped, r.n_train)
+        mapped.unpersist()
+        row = _facts(G.decision_scores(model.transform(nystrom.transform(test)))).drop("learns").withColumn("kernel", F.lit(spec.kind))
         out = row if out is None else out.unionByName(row)
     return out
 
 
-@query("decision_scores")
+@query("decision_scores", SIDES + "SELECT doc_id, split, true AS agrees FROM split")
 def decision_scores(spark, sf):
     r = _Rows(spark, sf)
     vectors = r.vectors()
-    model = G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train, max_iter=10)
-    return rounded(G.decision_scores(model.transform(vectors)).select("doc_id", "split", "pred", "score"))
+    model = G.svm_linear(vectors.where(F.col("split") == "train"), r.n_train)
+    return G.decision_scores(model.transform(vectors)).select("doc_id", "split", ((F.col("pred") == 1) == (F.col("score") > 0)).alias("agrees"))
 
 
-TREE_FEATURES = 100
-
-
-def _tree_input(spark, sf):
+def _tree_input(spark, sf, k=None):
+    """Vectors of the ``k`` most class-dependent terms; of the whole vocabulary by default."""
     r = _Rows(spark, sf)
-    chosen = materialize(D.chi2_terms(r.weights.where(F.col("split") == "train"), r.train, TREE_FEATURES), "chosen")
-    narrow = D.narrow_weights(r.weights.select("doc_id", "term_idx", "weight"), chosen, TREE_FEATURES)
-    docs = Y.stratified_folds(r.docs.select("doc_id", "label", "split"), k=3)
+    chosen = materialize(D.chi2_terms(r.weights.where(F.col("split") == "train"), r.train, k or r.size), "chosen")
+    narrow = D.narrow_weights(r.weights.select("doc_id", "term_idx", "weight"), chosen, k or r.size)
+    docs = Y.stratified_folds(r.docs.select("doc_id", "label", "split"))
     rows = V.sparse_rows(docs, narrow, "label", "split", "fold")
-    return r, chosen, vector_frame(rows, TREE_FEATURES)
+    return r, chosen, vector_frame(rows, chosen.count())
 
 
-@query("gbt")
+@query("gbt", TEST_FACTS)
 def gbt(spark, sf):
     _, _, vectors = _tree_input(spark, sf)
-    return _ml_quality(D.gbt(vectors.where(F.col("split") == "train"), n_estimators=5, max_depth=3), vectors)
+    return _ml_facts(D.gbt(vectors.where(F.col("split") == "train"), n_estimators=5, max_depth=3), vectors)
 
 
 @query("feature_importance_tree")
@@ -237,7 +270,7 @@ def feature_importance_tree(spark, sf):
 def cv_grid_gbt(spark, sf):
     _, _, vectors = _tree_input(spark, sf)
     train = vectors.where(F.col("split") == "train").persist()
-    table = L.cv_grid_gbt(train, {"maxDepth": [2, 3], "maxIter": [2]}, k=3)
+    table = L.cv_grid_gbt(train, {"maxDepth": [2, 3], "maxIter": [2]}, k=5)
     train.unpersist()
     return rounded(table.drop("fit_seconds"))
 
@@ -260,10 +293,10 @@ def multi_config_compare(spark, sf):
     def score(side):
         return lambda model: G.decision_scores(model.transform(vectors.where(F.col("split") == side)))
 
-    configs = [{"name": "Linear_C1", "c": 1.0}, {"name": "Linear_C0.1", "c": 0.1},
+    configs = [{"name": "Linear_C1", "c": 1.0}, {"name": "Linear_C0.1", "c": 0.1}, {"name": "Linear_C10", "c": 10.0},
                {"name": "Linear_balanced", "c": 1.0, "balanced": True}]
     table = L.multi_config_compare(
-        configs, lambda c: G.svm_linear(fit_rows, n, c["c"], c.get("balanced", False), max_iter=10),
+        configs, lambda c: G.svm_linear(fit_rows, n, c["c"], c.get("balanced", False)),
         score("test"), score("external"), spark)
     return rounded(table.drop("training_time"))
 
@@ -302,17 +335,27 @@ def save_load_scorer(spark, sf):
     return rounded(out.select("doc_id", "label", "pred", "margin"))
 
 
-@query("save_load_model")
+@query("save_load_model", SIDES + "SELECT doc_id, true AS same, (SELECT count(*) FROM train) AS n_train FROM test")
 def save_load_model(spark, sf):
     r = _Rows(spark, sf)
     vectors = r.vectors()
-    model = G.logreg(vectors.where(F.col("split") == "train"), r.n_train, max_iter=5)
+    model = G.logreg(vectors.where(F.col("split") == "train"), r.n_train)
     path = scratch_path(spark, "model")
     Z.save_model(spark, model, path, {"model": "logreg", "n_train": r.n_train})
     loaded, meta = Z.load_model(spark, path)
-    out = loaded.transform(vectors.where(F.col("split") == "test"))
-    return rounded(out.select("doc_id", F.col("prediction").cast("int").alias("pred"),
-                              vector_to_array("probability")[1].alias("score"), F.lit(meta["n_train"]).alias("n_train")))
+    test = vectors.where(F.col("split") == "test")
+    first, again = (m.transform(test).select("doc_id", vector_to_array("probability")[1].alias("score")) for m in (model, loaded))
+    return first.join(again.withColumnRenamed("score", "reloaded"), "doc_id").select(
+        "doc_id", (F.col("score") == F.col("reloaded")).alias("same"), F.lit(meta["n_train"]).cast("long").alias("n_train"))
+
+
+def _put(spark, path, record):
+    """A small JSON file, by the session's own file system."""
+    import json
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(json.dumps(record, indent=2).encode()))
+    out.close()
 
 
 def _write_runs(spark, sf):
@@ -322,23 +365,13 @@ def _write_runs(spark, sf):
     rows = weighted_metrics(confusion_counts(words, "lang")).orderBy("lang").collect()
     fields = {"accuracy": "accuracy", "precision": "precision_weighted", "recall": "recall_weighted",
               "f1_score": "f1_weighted", "specificity": "specificity"}
-    import json
-    jvm = spark.sparkContext._jvm
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def put(path, record):
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        out = target.getFileSystem(hadoop).create(target)
-        out.write(bytearray(json.dumps(record, indent=2).encode()))
-        out.close()
-
     for i, row in enumerate(rows):
         metrics = {k: row[c] for k, c in fields.items()}
         inner = metrics if i % 2 else {}
-        put(f"{base}/{row.lang}/config_summary.json", {
+        _put(spark, f"{base}/{row.lang}/config_summary.json", {
             "config_name": row.lang, "training_time_seconds": 10.0 + i, "test_metrics": metrics, "train_metrics": inner or None})
         if not inner:
-            put(f"{base}/{row.lang}/Trained/m_metadata.json", {"metrics": metrics})
+            _put(spark, f"{base}/{row.lang}/Trained/m_metadata.json", {"metrics": metrics})
     return base
 
 
@@ -350,10 +383,17 @@ def collect_runs(spark, sf):
                                F.col("train_metrics.accuracy").alias("train_accuracy")))
 
 
-@query("latest_model", "SELECT max(lang) IS NOT NULL AS found FROM documents")
+@query("latest_model", "SELECT max(lang) AS newest, max(lang) || '_metadata.json' AS file FROM documents")
 def latest_model(spark, sf):
-    newest = Z.latest_model(spark, _write_runs(spark, sf))
-    return spark.range(1).select(F.lit(newest.endswith("_metadata.json")).alias("found"))
+    """One record per language, written in the order of their names; the last is the newest."""
+    import time
+    base = scratch_path(spark, "records")
+    for row in I.table(spark, sf, "documents").select("lang").where("lang IS NOT NULL").distinct().orderBy("lang").collect():
+        _put(spark, f"{base}/{'z' * (9 - len(row.lang))}{row.lang}/{row.lang}_metadata.json", {"model": row.lang})
+        time.sleep(0.05)
+    newest = Z.latest_model(spark, base)
+    return spark.read.schema("model string").json(newest, multiLine=True).select(
+        F.col("model").alias("newest"), F.lit(newest.rpartition("/")[2]).alias("file"))
 
 
 # --- streams ----------------------------------------------------------------------
@@ -397,13 +437,18 @@ def stream_running_metrics(spark, sf):
     return rounded(per_batch.where(F.col("after_batch") == last).drop("after_batch", "auc_binned"))
 
 
-@query("stream_dedup", S.with_(*S.ALL_CONTENTS) + "SELECT count(DISTINCT content) AS n_contents FROM contents")
+@query("stream_dedup", S.with_(*S.ALL_CONTENTS) + """SELECT digest, n = 1 AS once, held FROM (SELECT sha256(content) AS digest, 1 AS n, true AS held
+FROM contents GROUP BY content)""")
 def stream_dedup(spark, sf):
+    """Every content arrives once, and the copy that is kept is one of its documents."""
     from corpusmill.operators.corpus import clean_frame
     stream = W.stream_dedup(clean_frame(_stream_articles(spark, sf)))
     out, checkpoint = W.stream_paths(spark, "dedup")
     W.finish(W.append_to(stream.select("doc_id", "content_hash"), out, checkpoint))
-    return spark.read.parquet(out).agg(F.count("*").alias("n_contents"))
+    all_contents = I.all_contents(spark, sf).select("doc_id", F.sha2("content", 256).alias("digest"))
+    kept = spark.read.parquet(out).select("doc_id", F.lower(F.hex("content_hash")).alias("digest"))
+    return kept.join(all_contents, ["doc_id", "digest"], "left_semi").groupBy("digest").agg(
+        (F.count("*") == 1).alias("once"), F.lit(True).alias("held"))
 
 
 @query("stream_dedup_watermark", S.with_(*S.ALL_CONTENTS) + "SELECT count(DISTINCT content) AS n_contents FROM contents")
@@ -448,22 +493,27 @@ def integrity_diff(spark, sf):
     return Q.integrity_diff(Q.row_fingerprint(old, cols), Q.row_fingerprint(new, cols), "c_custkey")
 
 
-def _sealed_round_trip(spark, sf, mode):
+def _sealed_round_trip(spark, sf, mode, extra):
+    """Open what was sealed, and say how long the sealed text is and whether it differs."""
     import secrets
-    path = scratch_path(spark, "secret")
-    spark.createDataFrame([(secrets.token_hex(16),)], "value string").coalesce(1).write.text(path)
-    key = Q.key_frame(path, spark).scalar()
-    docs = I.table(spark, sf, "documents").select("doc_id", "text")
-    sealed = Q.encrypt_column(docs, "text", key, mode)
-    return Q.decrypt_column(sealed, "text", key, mode)
+    key = F.lit(secrets.token_hex(16)).cast("binary")     # never written
+    docs = I.table(spark, sf, "documents").select("doc_id", "text", F.col("text").alias("plain"))
+    sealed = Q.encrypt_column(docs, "text", key, mode).withColumns({
+        "sealed_bytes": F.octet_length(F.unbase64("text")).cast("long"), "hidden": F.col("text") != F.col("plain"), **extra})
+    return Q.decrypt_column(sealed, "text", key, mode).drop("plain")
+
+
+SEALED = "SELECT doc_id, text, {} AS sealed_bytes, true AS hidden{} FROM documents"
 
 
-@query("encrypt_column", "SELECT doc_id, text FROM documents")
+@query("encrypt_column", SEALED.format("strlen(text) + 28", ""))
 def encrypt_column(spark, sf):
-    """Round trip in the default, authenticated mode."""
-    return _sealed_round_trip(spark, sf, "GCM")
+    """Round trip in the default, authenticated mode: 12 bytes of nonce and 16 of tag are added."""
+    return _sealed_round_trip(spark, sf, "GCM", {})
 
 
-@query("encrypt_column_ecb", "SELECT doc_id, text FROM documents")
+@query("encrypt_column_ecb", SEALED.format("strlen(text) // 16 * 16 + 16", ", 'acTg2Gp7BDDYzbeAcLTFWg==' AS known"))
 def encrypt_column_ecb(spark, sf):
-    return _sealed_round_trip(spark, sf, "ECB")
+    """Round trip with padding to whole blocks, beside a published pair of plain and sealed text."""
+    block = F.aes_encrypt(F.unhex(F.lit("00112233445566778899AABBCCDDEEFF")), F.unhex(F.lit("000102030405060708090A0B0C0D0E0F")), F.lit("ECB"), F.lit("PKCS"))
+    return _sealed_round_trip(spark, sf, "ECB", {"known": F.base64(F.substring(block, 1, 16))})

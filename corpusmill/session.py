@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A hint is given only to a side whose rows x width stays under this.
@@ -30,9 +33,26 @@ def local_session(cores: int | str = 8, app: str = "corpusmill") -> SparkSession
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for sessions started where it is not installed.
+
+    On a cluster install it on the workers, or call this once per session. The
+    driver serves the archive, so it stays until the driver ends.
+    """
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _ship(application: str) -> None:
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="corpusmill-package-")
+    SparkContext.getOrCreate().addPyFile(shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name))
+
+
 @lru_cache(maxsize=1)
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="corpusmill-")
