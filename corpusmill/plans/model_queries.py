@@ -256,13 +256,13 @@ def _tree_input(spark, sf, k=None):
 @query("gbt", TEST_FACTS)
 def gbt(spark, sf):
     _, _, vectors = _tree_input(spark, sf)
-    return _ml_facts(D.gbt(vectors.where(F.col("split") == "train"), n_estimators=5, max_depth=3), vectors)
+    return _ml_facts(D.gbt(vectors.where(F.col("split") == "train")), vectors)
 
 
 @query("feature_importance_tree")
 def feature_importance_tree(spark, sf):
     r, chosen, vectors = _tree_input(spark, sf)
-    model = D.gbt(vectors.where(F.col("split") == "train"), n_estimators=3, max_depth=3)
+    model = D.gbt(vectors.where(F.col("split") == "train"))
     return rounded(D.feature_importance_tree(model, r.vocab, chosen))
 
 

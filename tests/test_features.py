@@ -149,3 +149,23 @@ def test_configs_round_trip(tmp_path):
     assert (got.learning_rate, got.random_seed, got.regularization) == (0.2, 1, 0.001)
     with pytest.raises(ValueError):
         FeatureConfig(scaler_with_mean=True)
+
+
+def test_subject_block_at_inference_has_the_training_width(spark):
+    from dataclasses import replace
+    config = replace(LOOSE, include_subject=True)
+    train = docs(spark).withColumn("subject", F.when(F.col("label") == 0, "news").otherwise("blog"))
+    fitted = V.fit_features(train, replace(config, produce_scaled=False))
+    got = {(r.doc_id, r.term_idx): r.weight for r in fitted.transform(train).where("term_idx >= 4").collect()}
+    assert got == {(1, 5): 1.0, (2, 5): 1.0, (3, 4): 1.0, (4, 4): 1.0, (5, 4): 1.0}
+    unknown = fitted.transform(train.withColumn("subject", F.lit("other")))
+    assert unknown.where("term_idx >= 4").count() == 0
+    with pytest.raises(ValueError):
+        V.FittedFeatures(config, fitted.vocab).transform(train)
+
+
+def test_histogram_lists_empty_bins(spark):
+    from corpusmill.operators.profile import histogram
+    df = spark.createDataFrame([(0.0,), (1.0,), (10.0,), (None,)], "v double")
+    assert [r.n for r in histogram(df, "v", 5).orderBy("bin").collect()] == [2, 0, 0, 0, 1]
+    assert histogram(df.where("v < 0"), "v", 5).count() == 0

@@ -80,7 +80,7 @@ def test_latest_model(spark, tmp_path):
 
 def test_sha3_known_answer(spark):
     df = spark.createDataFrame([("abc",)], "a string")
-    got = Q.row_fingerprint(df, ["a"], "sha3_256").first().fingerprint
+    got = df.select(Q._sha3_256("a").alias("fingerprint")).first().fingerprint
     assert got == "3a985da74fe225b2045c172d6bd390bd855f086e3e9d525b46bfe24511431532"
 
 
@@ -98,3 +98,44 @@ def test_encryption_round_trip_hides_text_and_key(spark, tmp_path, mode):
     assert "secret" not in str([r.t for r in sealed.collect()])
     assert "0123456789abcdef" not in sealed._jdf.queryExecution().toString()
     assert [r.t for r in Q.decrypt_column(sealed, "t", key, mode).orderBy("id").collect()] == ["secret words", None]
+
+
+def test_fingerprints_tell_columns_and_nulls_apart(spark):
+    rows_ = [("a\u0001b", "c"), ("a", "b\u0001c"), (None, "x"), ("\u0002", "x"), ("", "x"), ("-", "x"), ("1:a", ""), ("1", "a")]
+    df = spark.createDataFrame(rows_, "a string, b string")
+    prints = {r.fingerprint for r in Q.row_fingerprint(df, ["a", "b"]).collect()}
+    assert len(prints) == len(rows_)
+
+
+def test_runs_take_their_newest_record(spark, tmp_path):
+    import json
+    import os
+    for name, accuracy, age in (("old", 0.9, 1000), ("new", 0.5, 2000)):
+        folder = tmp_path / "run" / "Trained"
+        folder.mkdir(parents=True, exist_ok=True)
+        path = folder / f"{name}_metadata.json"
+        path.write_text(json.dumps({"metrics": {"accuracy": accuracy}}))
+        os.utime(path, (age, age))
+    (tmp_path / "run" / "config_summary.json").write_text(json.dumps({"config_name": "run", "test_metrics": {"accuracy": 0.7}}))
+    assert Z.collect_runs(spark, str(tmp_path)).first().train_metrics.accuracy == 0.5
+
+
+def test_kernel_map_does_not_depend_on_blocks(spark, monkeypatch):
+    data = rows(spark).unionByName(spark.createDataFrame([(99, 0, [], [])], rows(spark).schema))
+    whole = {r.doc_id: list(r.features) for r in R.fit_nystrom(data, 6, R.KernelSpec("rbf"), m=8).transform(data).collect()}
+    monkeypatch.setattr(R, "BLOCK_VALUES", 1)
+    small = {r.doc_id: list(r.features) for r in R.fit_nystrom(data, 6, R.KernelSpec("rbf"), m=8).transform(data).collect()}
+    assert whole.keys() == small.keys() and all(np.allclose(whole[i], small[i]) for i in whole)
+
+
+def test_specificity_drives_a_cross_validator(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from corpusmill.operators.selection import SpecificityEvaluator
+    data = spark.createDataFrame([(int(Y[i]), [float(v) for v in X[i]], i % 3) for i in range(40)], "label int, x array<double>, fold int").select(
+        "label", array_to_vector("x").alias("features"), "fold")
+    lr = LogisticRegression()
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 5.0]).build()
+    model = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=SpecificityEvaluator(), numFolds=3, foldCol="fold").fit(data)
+    assert len(model.avgMetrics) == 2 and all(0 <= m <= 1 for m in model.avgMetrics)
