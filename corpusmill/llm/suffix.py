@@ -16,7 +16,7 @@ from corpusmill.llm.common import broadcast_measured, map_rows, materialize, utf
 SPAN = 50                  # words of a window
 PREFIX = 16                # words of the short prefix by which suffixes are first dealt
 OFFSETS = SPAN - PREFIX + 1
-CROWDED = 256              # suffixes of a prefix that one subtree may hold; beyond, the prefix is lengthened
+CROWDED = 8192             # suffixes of a prefix that one subtree may hold (some 100 MB); beyond, the prefix is lengthened
 BUNDLE = 4096              # suffixes whose subtrees are built at once in a task
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)   # odd multipliers of the rolling sums
 _SPACE = np.zeros(256, bool)
@@ -88,42 +88,49 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _emit_anchors(batch: pa.RecordBatch) -> dict:
-    ids, keys, parts, counts = batch.column(0), batch.column(1), [], []
+    """One row per text and prefix, however often the text repeats it; a place is a window run's start and length."""
+    ids, keys, prefixes, places, sizes, counts = batch.column(0), batch.column(1), [], [], [], []
     for text in utf8(batch.column(2)):
-        word, prefix, first, last = anchors(text)
-        # One long tells the place: the window run's start, its length and how far in the anchor is.
-        parts.append((prefix.view(np.int64), first << 12 | (last - first) << 6 | (word - first)))
-        counts.append(len(word))
+        _, prefix, first, last = anchors(text)
+        order = np.argsort(prefix, kind="stable")
+        distinct, size = np.unique(prefix, return_counts=True)
+        prefixes.append(distinct.view(np.int64))
+        places.append((first << 6 | (last - first))[order])
+        sizes.append(size)
+        counts.append(len(distinct))
     of = pa.array(np.repeat(np.arange(len(counts)), counts))
-    return {"doc_id": ids.take(of), "key": keys.take(of), "prefix": pa.array(np.concatenate([p[0] for p in parts])),
-            "place": pa.array(np.concatenate([p[1] for p in parts]))}
+    ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32)
+    return {"doc_id": ids.take(of), "key": keys.take(of), "prefix": pa.array(np.concatenate(prefixes)),
+            "places": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(places)))}
 
 
-def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = place >> 12
-    return first, first + (place >> 6 & 63)
+def _emit_suffixes(batch: pa.RecordBatch) -> dict:
+    """Per anchor with a repeated prefix its words; per distinct window under a crowded prefix the longer prefix."""
+    out = {n: [] for n in ("doc_id", "key", "prefix", "first", "last", "words", "long1", "long2", "starts")}
 
+    def add(*row) -> None:
+        for column, value in zip(out.values(), row):
+            column.append(value)
 
-def _emit_suffixes(batch: pa.RecordBatch) -> dict:
-    """Per anchor with a repeated prefix its words; per window under a crowded prefix the longer prefix."""
-    out = {n: [] for n in ("doc_id", "key", "prefix", "first", "last", "words", "long1", "long2")}
     ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-    rows = zip(ids, keys, utf8(batch.column(2)), *(batch.column(i).to_pylist() for i in (3, 4, 5)))
-    for doc_id, key, text, prefixes, places, crowded in rows:
+    for doc_id, key, text, shared in zip(ids, keys, utf8(batch.column(2)), batch.column(3).to_pylist()):
         starts, stops = word_bounds(text)
-        firsts, lasts = _unpack(np.array(places, np.int64))
-        for prefix, first, last, full in zip(prefixes, firsts.tolist(), lasts.tolist(), crowded):
-            if not full:
-                for name, value in (("doc_id", doc_id), ("key", key), ("prefix", prefix), ("first", first), ("last", last),
-                                    ("words", text[starts[first]:stops[last + SPAN - 1]]), ("long1", None), ("long2", None)):
-                    out[name].append(value)
-        if any(crowded):
-            each = np.unique(np.concatenate([np.arange(a, b + 1) for a, b, full in zip(firsts, lasts, crowded) if full]))
-            long1, long2 = (_sums(_word_hashes(text, starts, stops, b), each, each + SPAN, 1 - b).view(np.int64).tolist() for b in (0, 1))
-            for w, a, b in zip(each.tolist(), long1, long2):
-                for name, value in (("doc_id", doc_id), ("key", key), ("prefix", None), ("first", w), ("last", w),
-                                    ("words", None), ("long1", a), ("long2", b)):
-                    out[name].append(value)
+        crowded = []
+        for s in shared:
+            place = np.array(s["places"], np.int64)
+            runs = zip((place >> 6).tolist(), ((place >> 6) + (place & 63)).tolist())
+            for first, last in runs:
+                if s["crowded"]:
+                    crowded.append(np.arange(first, last + 1))
+                else:
+                    add(doc_id, key, s["prefix"], first, last, text[starts[first]:stops[last + SPAN - 1]], None, None, None)
+        if crowded:
+            each = np.unique(np.concatenate(crowded))
+            long1, long2 = (_sums(_word_hashes(text, starts, stops, b), each, each + SPAN, 1 - b).view(np.int64) for b in (0, 1))
+            order = np.lexsort((each, long2, long1))
+            cuts = np.flatnonzero((np.diff(long1[order]) != 0) | (np.diff(long2[order]) != 0)) + 1
+            for same in np.split(order, cuts):
+                add(doc_id, key, None, None, None, None, int(long1[same[0]]), int(long2[same[0]]), each[same].tolist())
     return out
 
 
@@ -245,28 +252,28 @@ def drop_repeated_spans(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         "copy", F.coalesce(F.col("doc_id") > F.col("original"), F.lit(False))).drop("digest", "original")
 
     judged = rows.where("NOT copy AND doc_id IS NOT NULL").select("doc_id", "key", "text")
-    dealt = materialize(map_rows(judged, _emit_anchors, "doc_id bigint, key bigint, prefix bigint, place bigint"), "anchors")
-    shared = dealt.groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+    dealt = materialize(map_rows(judged, _emit_anchors, "doc_id bigint, key bigint, prefix bigint, places array<bigint>"), "anchors")
+    shared = dealt.groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum(F.size("places")).alias("n"))
     shared = shared.where("lo < hi").select("prefix", (F.col("n") > CROWDED).alias("crowded"))
     wanted = materialize(
-        dealt.join(shared, "prefix").groupBy("doc_id", "key").agg(F.collect_list(F.struct("prefix", "place", "crowded")).alias("s"))
-        .select("doc_id", "key", *(F.col(f"s.{c}").alias(c) for c in ("prefix", "place", "crowded"))), "wanted-anchors")
+        dealt.join(shared, "prefix").groupBy("doc_id", "key").agg(F.collect_list(F.struct("prefix", "places", "crowded")).alias("shared")),
+        "wanted-anchors")
     few = broadcast_measured(wanted.select("doc_id", "key"), 32)
-    texts = judged.join(few, ["doc_id", "key"], "semi").join(wanted, ["doc_id", "key"]).select(
-        "doc_id", "key", "text", "prefix", "place", "crowded")
+    texts = judged.join(few, ["doc_id", "key"], "semi").join(wanted, ["doc_id", "key"]).select("doc_id", "key", "text", "shared")
     suffixes = materialize(map_rows(
-        texts, _emit_suffixes, "doc_id bigint, key bigint, prefix bigint, first bigint, last bigint, words binary, long1 bigint, long2 bigint"),
+        texts, _emit_suffixes, "doc_id bigint, key bigint, prefix bigint, first bigint, last bigint, words binary, long1 bigint, long2 bigint, starts array<bigint>"),
         "suffixes")
 
     trees = (suffixes.where("words IS NOT NULL").select("doc_id", "key", "prefix", "first", "last", "words")
              .repartition("prefix").sortWithinPartitions("prefix")
-             .mapInArrow(_emit_repeats, "doc_id bigint, key bigint, `from` bigint, `to` bigint"))
-    lengthened = suffixes.where("words IS NULL").select("doc_id", "key", "first", "long1", "long2")
+             .mapInArrow(_emit_repeats, "doc_id bigint, key bigint, `from` bigint, `to` bigint")
+             .select("doc_id", "key", F.array(F.struct("from", "to")).alias("ranges")))
+    lengthened = suffixes.where("words IS NULL").select("doc_id", "key", "starts", "long1", "long2")
     least = lengthened.groupBy("long1", "long2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi")
     nodes = lengthened.join(least, ["long1", "long2"]).where("doc_id > lo").select(
-        "doc_id", "key", F.col("first").alias("from"), (F.col("first") + SPAN).alias("to"))
+        "doc_id", "key", F.transform("starts", lambda s: F.struct(s.alias("from"), (s + SPAN).alias("to"))).alias("ranges"))
     ranges = materialize(trees.unionByName(nodes).groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("from", "to")).alias("ranges")), "repeated-ranges")
+        F.flatten(F.collect_list("ranges")).alias("ranges")), "repeated-ranges")
     width = ranges.agg(F.max(F.size("ranges"))).first()[0] or 1
     out = rows.join(broadcast_measured(ranges, 32 + 16 * width), ["doc_id", "key"], "left").select("doc_id", "text", "copy", "ranges")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
