@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from corpusmill.llm.common import materialize, utf8
+from corpusmill.llm.common import broadcast_measured, materialize, utf8
 from corpusmill.session import scratch_path
 
 SKIPPABLE = 0x184D2A5D           # magic of the leading frame that carries the dictionary
@@ -77,13 +77,15 @@ def build_dictionary(records: list[bytes]) -> bytes:
 
 
 def dictionary_of(pages: DataFrame) -> bytes:
-    """Dictionary from the archived records of at most ``SAMPLE_RECORDS`` pages, lowest digest first.
+    """Dictionary from the archived records of at most ``SAMPLE_RECORDS`` distinct payloads, lowest hash first.
 
-    No more than ``SAMPLE_BYTES`` of each reach the driver.
+    The choice is made on digests; only the chosen payloads reach the driver,
+    ``SAMPLE_BYTES`` of each at most.
     """
-    sample = (pages.select("page_id", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
-              .orderBy(F.xxhash64("digest"), "page_id").limit(SAMPLE_RECORDS))
-    return build_dictionary([record_bytes(r.page_id, r.url, bytes(r.payload), r.digest, None)[:SAMPLE_BYTES] for r in sample.collect()])
+    chosen = [r["hex"] for r in pages.groupBy("hex").agg(F.xxhash64("hex").alias("order")).orderBy("order", "hex").limit(SAMPLE_RECORDS).collect()]
+    sample = pages.where(F.col("hex").isin(chosen)).groupBy("hex").agg(
+        F.min(F.struct("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))).alias("p")).orderBy("hex").select("p.*").collect()
+    return build_dictionary([record_bytes(r.page_id, r.url, bytes(r.payload), sha1_base32(bytes(r.payload)), None)[:SAMPLE_BYTES] for r in sample])
 
 
 def _place(path: str) -> tuple[pafs.FileSystem, str]:
@@ -91,7 +93,7 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int = 3) -> DataFrame:
-    """Write (page_id, url, payload, digest, refers_to) rows as ``.warc.zst`` files; returns (archive, records, bytes).
+    """Write (page_id, url, payload, refers_to) rows as ``.warc.zst`` files; returns (archive, records, bytes).
 
     Every file starts with the dictionary in a skippable frame, then one
     Zstandard frame per record. A task writes under a name of its own and the
@@ -112,13 +114,13 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
                 out = None
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in (0, 1)] + [utf8(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()]
-            for row in zip(*columns):
+            columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist()
+            for page_id, url, payload, refers_to in zip(*columns):
                 if out is None:
                     name, count = posixpath.join(root, f"{uuid.uuid4().hex}.warc.zst"), 0
-                    out = fs.open_output_stream(name)
+                    out = fs.open_output_stream(name, compression=None)
                     out.write(struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary)
-                out.write(compressor.compress(record_bytes(*row)))
+                out.write(compressor.compress(record_bytes(page_id, url, payload, sha1_base32(payload), refers_to)))
                 count += 1
                 if out.tell() > ARCHIVE_BYTES:
                     close()
@@ -127,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
             yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))],
                                              ["archive", "records", "bytes"])
 
-    return pages.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "archive string, records bigint, bytes bigint")
+    return pages.select("page_id", "url", "payload", "refers_to").mapInArrow(run, "archive string, records bigint, bytes bigint")
 
 
 def iter_records(stream) -> Iterator[bytes]:
@@ -170,7 +172,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
         fs, _ = _place(folder)
         for name in (n for b in batches for n in b.column(0).to_pylist()):
             rows, held = [], 0
-            with fs.open_input_stream(name) as stream:
+            with fs.open_input_stream(name, compression=None) as stream:
                 for data in iter_records(stream):
                     head, http, body = parse_record(data)
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
@@ -188,15 +190,6 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("archive").mapInArrow(run, schema)
 
 
-def _digests(pages: DataFrame) -> DataFrame:
-    """Adds the base32 SHA-1 of the payload, in the JVM: five bits of the digest name a letter."""
-    bits = F.lpad(F.conv(F.substring("hex", 1, 10), 16, 2), 40, "0")
-    for i in range(1, 4):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring("hex", 10 * i + 1, 10), 16, 2), 40, "0"))
-    letters = [F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(F.substring("bits", 5 * i + 1, 5), 2, 10).cast("int") + 1, F.lit(1)) for i in range(32)]
-    return pages.withColumn("hex", F.sha1("payload")).withColumn("bits", bits).withColumn("digest", F.concat(*letters)).drop("hex", "bits")
-
-
 def archive_pages(pages: DataFrame, folder: str | None = None, smallest_revisit: int = 0) -> tuple[DataFrame, str]:
     """Archive ``pages`` (page_id, url, html) and return the files table and their folder.
 
@@ -210,14 +203,14 @@ def archive_pages(pages: DataFrame, folder: str | None = None, smallest_revisit:
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    rows = _digests(pages.select(F.col("page_id").cast(LongType()).alias("page_id"), "url",
-                                 F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")))
-    large = F.when(F.octet_length("payload") >= smallest_revisit, F.col("digest"))
-    copies = materialize(rows.select(large.alias("digest"), "page_id").where("digest IS NOT NULL").groupBy("digest").agg(
+    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select(F.col("page_id").cast(LongType()).alias("page_id"), "url", payload.alias("payload"), F.sha1(payload).alias("hex"))
+    large = F.when(F.octet_length("payload") >= smallest_revisit, F.col("hex"))
+    copies = materialize(rows.select(large.alias("same"), "page_id").where("same IS NOT NULL").groupBy("same").agg(
         F.max("page_id").alias("kept"), F.min(F.coalesce("page_id", F.lit(-(1 << 63)))).alias("least")).where(
-        "kept IS NOT NULL AND least < kept").select("digest", "kept"), "copied-payloads")
+        "kept IS NOT NULL AND least < kept").select("same", "kept"), "copied-payloads")
     dictionary = dictionary_of(rows)
-    marked = rows.join(copies.withColumnRenamed("digest", "same"), large == F.col("same"), "left").withColumn(
+    marked = rows.join(broadcast_measured(copies, 64), large == F.col("same"), "left").withColumn(
         "refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("kept")), F.col("kept")))
     return materialize(write_archives(marked, folder, dictionary), "archives"), folder
 
