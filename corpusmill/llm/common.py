@@ -5,36 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from corpusmill.session import BROADCAST_LIMIT_BYTES, materialize
 
-__all__ = ["blank_as_empty", "broadcast_measured", "materialize", "map_rows", "read_table", "utf8"]
+__all__ = ["broadcast_measured", "materialize", "map_rows", "read_table", "utf8"]
+
+ROWS_AT_ONCE = 1000     # of an Arrow batch, to bound what a Python worker holds
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def blank_as_empty(col: str) -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts of an Arrow column as UTF-8; null is empty."""
     return [b"" if v is None else v for v in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch; it returns the columns of ``schema``."""
+    """Apply ``fn`` to every Arrow batch, ``ROWS_AT_ONCE`` rows at a time; it returns the columns of ``schema``."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                out = fn(batch.slice(at, ROWS_AT_ONCE))
                 yield pa.RecordBatch.from_arrays(
                     [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], types[n]) for n in names], names)
 
