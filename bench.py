@@ -13,7 +13,7 @@ HEADLINE = (
     "prepare_corpus", "dedup_exact_first", "length_stats_by_class", "vocab_richness", "ngram_growth",
     "top_tokens_per_class", "stratified_split", "tfidf_fit", "tfidf_transform", "scale_features",
     "auc_roc", "threshold_sweep", "nb_bernoulli", "cv_grid_multi_metric", "external_eval",
-    "logreg_gd", "normalize_standardize", "row_fingerprint", "stream_score",
+    "logreg_gd", "normalize_standardize", "row_fingerprint", "stream_score", "svm_linear", "svm_kernel", "learning_curve",
 )
 
 
