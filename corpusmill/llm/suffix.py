@@ -18,7 +18,7 @@ PREFIX = 16                # words of the short prefix by which suffixes are fir
 OFFSETS = SPAN - PREFIX + 1
 CROWDED = 8192             # suffixes of a prefix that one subtree may hold (some 100 MB); beyond, the prefix is lengthened
 BUNDLE = 4096              # suffixes whose subtrees are built at once in a task
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)   # odd multipliers of the rolling sums
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)   # odd multipliers of the rolling sums
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
