@@ -155,7 +155,7 @@ def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kin
     aggregation by term, and every posting is scored once for all of them.
     """
     from corpusmill.operators.naive_bayes import absent_weight, class_prior, term_weight
-    from corpusmill.session import broadcast_bounded
+    from corpusmill.session import broadcast_bounded, materialize
     cells, sizes = [], []
     grid = list(product(range(k), range(1, parts + 1)))
 
@@ -170,7 +170,8 @@ def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kin
                 F.count(F.when(inside(f, i) & (F.col("label") == c) & (F.col("weight") > 0), 1)).alias(f"d{c}"))]))
         sizes.append(F.struct(*key, *[
             F.count(F.when(inside(f, i) & (F.col("label") == c), 1)).alias(f"n{c}") for c in (0, 1)]))
-    sums = weights.groupBy("term_idx").agg(F.array(*cells).alias("_c")).select("term_idx", F.inline("_c"))
+    # Written: the totals, the biases and the weights all come from it.
+    sums = materialize(weights.groupBy("term_idx").agg(F.array(*cells).alias("_c")).select("term_idx", F.inline("_c")), "curve-sums")
     n = docs.agg(F.array(*sizes).alias("_s")).select(F.inline("_s"))
     totals = sums.groupBy("held", "size").agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v"))
     constants = F.broadcast(n.join(totals, ["held", "size"]))  # k * parts rows
@@ -186,15 +187,16 @@ def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kin
     x = F.lit(1.0) if kind == "BNB" else F.col("weight")
     dots = weights.join(side, "term_idx").groupBy("doc_id").agg(*[
         F.sum(x * F.col(f"w{j}")).alias(f"s{j}") for j in range(len(grid))])
-    rows = docs.select("doc_id", "label", "fold", "part").join(dots, "doc_id", "left").select(
-        "label", "fold", "part", F.inline(F.array(*[
-            F.struct(F.lit(f).alias("held"), F.lit(i).alias("size"), F.coalesce(f"s{j}", F.lit(0.0)).alias("dot"))
-            for j, (f, i) in enumerate(grid)])))
-    scored = rows.join(F.broadcast(bias), ["held", "size"]).withColumn(
-        "hit", ((F.col("dot") + F.col("b") > 0).cast("int") == F.col("label")).cast("double"))
-    per_fold = scored.groupBy("size", "held").agg(
-        F.avg(F.when((F.col("fold") != F.col("held")) & (F.col("part") <= F.col("size")), F.col("hit"))).alias("train"),
-        F.avg(F.when(F.col("fold") == F.col("held"), F.col("hit"))).alias("test"))
+    shift = {(r["held"], r["size"]): r["b"] for r in bias.collect()}  # k * parts numbers
+    shares = []
+    for j, (f, i) in enumerate(grid):
+        b = shift.get((f, i))
+        hit = ((F.coalesce(f"s{j}", F.lit(0.0)) + F.lit(b if b is not None else float("nan")) > 0).cast("int") == F.col("label")).cast("double")
+        shares.append(F.struct(F.lit(f).alias("held"), F.lit(i).alias("size"), F.avg(F.when(inside(f, i), hit)).alias("train"),
+                               F.avg(F.when(F.col("fold") == f, hit)).alias("test")))
+    # Shares of hits are conditional means of one pass: a document stays one row.
+    per_fold = (docs.select("doc_id", "label", "fold", "part").join(dots, "doc_id", "left")
+                .agg(F.array(*shares).alias("_p")).select(F.inline("_p")))
     return per_fold.groupBy("size").agg(
         F.avg("train").alias("train_mean"), F.stddev_pop("train").alias("train_std"),
         F.avg("test").alias("cv_mean"), F.stddev_pop("test").alias("cv_std"))
