@@ -72,19 +72,16 @@ def write_labels(spark, sf):
     return spark.read.option("header", True).schema("doc_id long, label int").csv(path)
 
 
-@query("text_report")
-def text_report(spark, sf):
-    path = scratch_path(spark, "report")
-    K.text_report(K.summary_lines(P.length_stats(I.corpus(spark, sf)), "Document Length Distribution"), path)
-    return spark.read.text(path)
-
-
-@query("load_config")
+@query("load_config", S.with_(S.ARTICLES, S.LABELLED, S.cleaned(), "kept AS (SELECT * FROM cleaned WHERE length(content) > 0)") + """SELECT count(*) FILTER (label = 0) AS fake_0,
+count(*) FILTER (label = 1) AS real_1, 1234 AS max_features, 0.25::DOUBLE AS test_size FROM kept""")
 def load_config(spark, sf):
-    """The saved configuration drives the preparation of the corpus."""
+    """A written configuration drives the preparation of the corpus: it keeps copies."""
     from corpusmill.config import feature_config_from_json, feature_config_to_json
-    config = feature_config_from_json(feature_config_to_json(FeatureConfig()))
-    return P.class_counts(I.corpus(spark, sf, config)).withColumn("max_features", F.lit(config.max_features))
+    path = scratch_path(spark, "config")
+    written = feature_config_to_json(FeatureConfig(max_features=1234, test_size=0.25, drop_exact_duplicates=False))
+    spark.createDataFrame([(written,)], "value string").coalesce(1).write.text(path)
+    config = feature_config_from_json("\n".join(r.value for r in spark.read.text(path).collect()))
+    return P.class_counts(I.corpus(spark, sf, config)).withColumns({"max_features": F.lit(config.max_features), "test_size": F.lit(config.test_size)})
 
 
 # --- projections and cleaning -------------------------------------------------
@@ -253,6 +250,14 @@ STATS_SQL = """round(avg(words), 6) AS mean_words, round(median(words)::DOUBLE,
 CAST(min(words) AS BIGINT) AS min_words, CAST(max(words) AS BIGINT) AS max_words"""
 
 
+@query("text_report", S.with_(*S.CORPUS, LENGTHS, f"s AS (SELECT {STATS_SQL} FROM lens)") + """SELECT unnest(['=== Document Length Distribution ===',
+'mean_words: ' || mean_words, 'median_words: ' || median_words, 'min_words: ' || min_words, 'max_words: ' || max_words]) AS value FROM s""")
+def text_report(spark, sf):
+    path = scratch_path(spark, "report")
+    K.text_report(K.summary_lines(rounded(P.length_stats(I.corpus(spark, sf))), "Document Length Distribution"), path)
+    return spark.read.text(path)
+
+
 @query("length_stats", S.with_(*S.CORPUS, LENGTHS) + f"SELECT {STATS_SQL} FROM lens")
 def length_stats(spark, sf):
     return rounded(P.length_stats(I.corpus(spark, sf)))
