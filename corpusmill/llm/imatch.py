@@ -7,8 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from corpusmill.llm.common import utf8
 from corpusmill.llm.suffix import _mix, _sums
 
 RAREST, COMMONEST = 0.0005, 0.1   # band of document frequency, as shares of all documents
@@ -103,7 +105,7 @@ def likeness(a: str, b: str) -> float:
 
 
 def _chained(docs: DataFrame) -> DataFrame:
-    """(part, guest, place, hash, doc_id, text) rows, dealt and sorted so that each row's next document follows it.
+    """(part, guest, place, hash, doc_id, compressed text) rows, dealt and sorted so that each row's next document follows it.
 
     Ids are cut into ranges at approximate quantiles. The highest row of each
     range also goes, as a guest, behind the lowest row of the range above; the
@@ -124,16 +126,21 @@ def _chained(docs: DataFrame) -> DataFrame:
                 part = np.searchsorted(bounds, place)
                 both = [(i, guests[k]) for i, k in enumerate(zip(place.tolist(), batch.column(1).to_pylist())) if k in guests]
                 take = pa.array([*range(batch.num_rows), *(i for i, _ in both)], pa.int64())
+                columns = batch.columns
+                if len(columns) == 4:
+                    # Texts cross the exchange compressed.
+                    squeeze = zstandard.ZstdCompressor(level=1).compress
+                    columns = [*columns[:3], pa.array([squeeze(t) for t in utf8(columns[3])], pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*part.tolist(), *(p for _, p in both)], pa.int64()), pa.array([False] * batch.num_rows + [True] * len(both)),
-                     *(c.take(take) for c in batch.columns)], ["part", "guest", *batch.schema.names])
+                     *(c.take(take) for c in columns)], ["part", "guest", *batch.schema.names])
         return run
 
     schema = f"part bigint, guest boolean, place bigint, hash bigint, doc_id {kind}"
     firsts = rows.drop("text").mapInArrow(deal({}), schema).groupBy("part").agg(F.min(F.struct(-F.col("place"), "hash")).alias("first"), F.max("place").alias("high"))
     heads = sorted((r["part"], r["high"], r["first"]["hash"]) for r in firsts.collect())      # one per range
     above = {(high, code): heads[(i + 1) % len(heads)][0] for i, (_, high, code) in enumerate(heads)}
-    dealt = rows.mapInArrow(deal(above), schema + ", text string")
+    dealt = rows.mapInArrow(deal(above), schema + ", text binary")
     return dealt.repartition("part").sortWithinPartitions("part", "guest", F.col("place").desc(), "hash")
 
 
@@ -153,6 +160,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band = np.frombuffer(words.value, np.uint64)
+        unsqueeze = zstandard.ZstdDecompressor().decompress
         held = None
 
         def finish(text: str, own: str, after: str, print_after: str) -> tuple:
@@ -164,11 +172,12 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, rows = [], []
             columns = [batch.column(i).to_pylist() for i in (0, 1, 4, 5)]
-            for part, guest, doc_id, text in zip(*columns):
+            for part, guest, doc_id, squeezed in zip(*columns):
                 if held is not None and held[0] != part:
                     raise ValueError("a range lost its guest")
                 if guest and held is None:
                     continue          # a repeated guest
+                text = unsqueeze(squeezed).decode()
                 own = fingerprint(text, band)
                 if held is not None:
                     ids.append(held[1])
