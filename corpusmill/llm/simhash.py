@@ -7,7 +7,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.llm.common import broadcast_measured, map_rows, materialize, utf8
 from corpusmill.llm.components import connected_components
@@ -119,7 +119,11 @@ def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
     roots = connected_components(links(classes.select("fp")), "a", "b")
     kept = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
             .select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")))
-    kept = materialize(kept, "kept-rows")
+    return keep_rows(docs, rows, materialize(kept, "kept-rows"), code)
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, kept: DataFrame, code: Column) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` names by (__id, __code), each once; ``rows`` has doc_id and code of all rows."""
     match = F.col("doc_id").eqNullSafe(F.col("__id")) & (code == F.col("__code"))
     once = docs.join(kept, match, "semi")
     again = materialize(rows.groupBy("doc_id", "code").agg(F.count("*").alias("n")).where("n > 1").select(
