@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,11 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusmill.llm.common import broadcast_measured, map_rows, materialize
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3             # of scoring patterns and instances
 LEAST_SUPPORT = 5      # known instances of a kind that a pattern needs
 SURE_PATTERN = 0.8     # share of a pattern's instances that are known to be of the kind
 SURE_INSTANCE = 0.9    # confidence from which an instance counts as known
-LONGEST_VALUE = 64     # characters of a token that may be an identifier
 
 # Possessive runs match what the plain patterns match, in linear time.
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -25,6 +24,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _DIGIT = re.compile(r"[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TOKEN = re.compile(r"[^\s,;:()\[\]{}<>\"'|]+")
+# Values of several tokens. Groups of digits joined by blanks, brackets, dots and dashes; a longer group stands alone.
+_GROUPS = re.compile(r"(?<![\w.+-])(?:\([\x20]?)?[0-9]{1,6}(?![0-9])(?:(?:\)[\x20.-]?|\x20?\(|\x20-\x20|[\x20.-])[0-9]{1,6}(?!\w))+")
+_IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){3,7}(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9A-Fa-f]{0,4})(?:%\w+)?(?![\w:])")
 _WORDS = re.compile(r"\S+")
 _SPAN = "struct<kind:int,start:int,`end`:int>"
 _FOUND = "struct<kind:int,start:int,`end`:int,value:string,contexts:array<string>>"
@@ -72,7 +74,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def like(kind: int, value: str) -> bool:
-    """Could a token be an identifier of the kind, though not in its fixed format?"""
+    """Could a value be an identifier of the kind, though not in its fixed format?"""
     digits = sum("0" <= c <= "9" for c in value)
     if kind == 0:
         return "@" in value
@@ -93,19 +95,42 @@ def _contexts(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans that may be identifiers, by start: grouped numbers and colon addresses between the base spans, and the tokens outside both."""
+    parts, at = [], 0
+    for _, a, b in base:
+        if b > at:
+            parts += [text[at:a], "," * (b - max(a, at))]
+            at = b
+    between = "".join([*parts, text[at:]])
+    wide = [m.span() for m in _IP6.finditer(between)] if text.count(":") >= 3 else []
+    taken = list(wide)
+    for m in _GROUPS.finditer(between):
+        if not any(a < m.end() and m.start() < b for a, b in taken) and any(like(k, m.group()) for k in (2, 3)) and not _TOKEN.fullmatch(m.group()):
+            wide.append(m.span())
+    wide.sort()
+    out, i = list(wide), 0
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        if not _DIGIT.search(m.group()) and "@" not in m.group():
+            continue
+        b = a + len(m.group().rstrip(".!?"))
+        while i < len(wide) and wide[i][1] <= a:
+            i += 1
+        if i == len(wide) or wide[i][0] >= b:
+            out.append((a, b))
+    return sorted(out)
+
+
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """Base spans, and tokens beside them that look like identifiers (kind -1), with value and patterns."""
-    if not base and not _DIGIT.search(text) and "@" not in text:
+    """Base spans, and candidates beside them that look like identifiers (kind -1), with value and patterns."""
+    if not base and not _DIGIT.search(text) and "@" not in text and text.count(":") < 3:
         return []
     out = [(k, a, b, text[a:b], _contexts(text, a, b)) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
     i = 0
-    for m in _TOKEN.finditer(text):
-        a, b = m.span()
-        if b - a > LONGEST_VALUE or b - a < 5 or not _DIGIT.search(m.group()) and "@" not in m.group():
-            continue
-        value = m.group().rstrip(".!?")
-        b = a + len(value)
+    for a, b in candidates(text, base):
+        value = text[a:b]
         while i < len(taken) and taken[i][1] <= a:
             i += 1
         if i < len(taken) and taken[i][0] < b or not any(like(k, value) for k in range(4)):
@@ -143,7 +168,7 @@ def bootstrap(found: DataFrame) -> DataFrame:
     Values and patterns are the two sides of a graph. A pattern's confidence
     in a kind is the known share of its distinct values; a value's is one
     minus the product of its patterns' doubts. Each round adds the values it
-    is sure of to the known ones. Edges are distinct before they are counted,
+    is sure of to the known ones, until one adds nothing. Edges are distinct before they are counted,
     so a common word before many identifiers costs one row per value.
     """
     edges = materialize(found.select("kind", "value", F.explode("contexts").alias("pattern")).distinct(), "pii-edges")
@@ -153,7 +178,7 @@ def bootstrap(found: DataFrame) -> DataFrame:
         known.select("value").distinct(), "value", "anti"), "pii-open")
     sizes = edges.select("value", "pattern").distinct().groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SUPPORT)
     wide = materialize(edges.select("value", "pattern").distinct().join(sizes, "pattern"), "pii-patterns")
-    for step in range(1, ROUNDS + 1):
+    for step in count(1):
         scored = wide.join(known, "value").groupBy("pattern", "kind", "n").agg(F.sum("sure").alias("known"), F.count("*").alias("support"))
         good = scored.where((F.col("support") >= LEAST_SUPPORT) & (F.col("known") / F.col("n") >= SURE_PATTERN)).select(
             "pattern", "kind", F.least(F.col("known") / (F.col("n") + 0.5), F.lit(0.999)).alias("trust"))
