@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.llm import align, html, imatch, langid, pareto, pii, simhash, suffix, toxicity, warc, winnow
+from corpusmill.llm import align, html, imatch, langid, pareto, pii, pq, simhash, suffix, toxicity, warc, whiten, winnow
 from corpusmill.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.components_of(whiten.whiten(read_table(spark, sf_dir, "embeddings"))).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_pq_near_duplicates")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_documents(read_table(spark, sf_dir, "documents")).select(
