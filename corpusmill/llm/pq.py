@@ -18,7 +18,7 @@ SAMPLE = 20_000        # most vectors that the lists and codes are fitted on, ch
 LIST_ROWS = 1024       # vectors that a coarse list is meant to hold
 MOST_LISTS = 4096      # of coarse lists, so that their centres stay a small broadcast
 WIDTH, CODES = 8, 256  # entries of a subspace, codes of a subspace
-DEVIATIONS = 3.5       # probes reach so many deviations of a linked vector's offset across a list's border
+DEVIATIONS = 4.0       # two linked vectors find each other across a border up to so many deviations of their offset
 BLOCK = 2048           # vectors of a list, and queries of it, that a task compares at once
 ROUNDS = 8             # of k-means
 
@@ -81,22 +81,24 @@ class Quantizer:
     def tables(self, residual: np.ndarray) -> np.ndarray:
         """Squared distances of each residual's parts from all codes: (rows, subspaces, codes)."""
         parts = self.split(residual)
-        return np.stack([_squares(parts[:, m], self.codes[m]) for m in range(parts.shape[1])], axis=1)
+        return np.stack([_squares(parts[:, m], self.codes[m]) for m in range(parts.shape[1])], axis=1).astype(np.float32)
 
     def probes(self, x: np.ndarray, similarity: float, deviations: float = DEVIATIONS) -> tuple[np.ndarray, np.ndarray]:
         """Own list of each row, and a mask of the lists to search.
 
-        A vector linked to x lies in another list only across the plane between
-        the two centres. Its offset from x has length r = sqrt(2 - 2 similarity)
-        at most, and r / sqrt(dim) along one direction in the mean square; lists
-        whose plane is farther than ``deviations`` times that are left out.
+        Two linked vectors are in two lists only on both sides of the plane
+        between the centres. One finds the other if the nearer of them searches
+        across, so a list is searched if its plane is within half the reach. The
+        offset of linked vectors has length r = sqrt(2 - 2 similarity) at most,
+        the largest reach, which misses none; along one direction it is
+        r / sqrt(dim) in the mean square, and the reach is ``deviations`` of it.
         """
         far = _squares(x, self.lists)
         own = far.argmin(axis=1)
         apart = np.sqrt(_squares(self.lists, self.lists))[own]
         plane = (far - far[np.arange(len(x)), own][:, None]) / (2 * np.where(apart > 0, apart, 1))
         reach = min(1.0, deviations / np.sqrt(x.shape[1])) * np.sqrt(2 - 2 * similarity)
-        return own, (plane <= reach) | (apart == 0)
+        return own, (plane <= reach / 2 + 1e-9) | (apart == 0)
 
 
 def fit(sample: np.ndarray, rows: int) -> Quantizer:
@@ -175,18 +177,18 @@ def index(classes: DataFrame, similarity: float = SIMILARITY, sample: int = SAMP
         run, "node bigint, rows bigint, vector binary, list int, code binary, error double, probes array<int>"), "pq-index"), model
 
 
-def _candidates(tables: np.ndarray, codes: np.ndarray, errors: np.ndarray, radius: float) -> Iterator[tuple[int, np.ndarray]]:
-    """Per query the members whose looked-up distance, less their code's error, is within ``radius``.
+def _candidates(tables: np.ndarray, codes: np.ndarray, errors: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, members) whose looked-up distance, less the error of the member's code, is within ``radius``.
 
-    By the triangle inequality no member within the radius is left out.
+    By the triangle inequality no pair within the radius is left out; the
+    margin covers sums in single precision.
     """
-    limit = np.square(radius + errors) + 1e-9
-    columns = np.ascontiguousarray(codes.T)
-    for i, table in enumerate(tables):
-        far = table[0][columns[0]]
-        for m in range(1, len(columns)):
-            far = far + table[m][columns[m]]
-        yield i, np.flatnonzero(far <= limit)
+    limit = (np.square(radius + errors) + 1e-4).astype(np.float32)
+    columns = codes.T.astype(np.intp)
+    far = np.take(tables[:, 0], columns[0], axis=1)
+    for m in range(1, len(columns)):
+        far += np.take(tables[:, m], columns[m], axis=1)
+    return np.nonzero(far <= limit)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -244,15 +246,13 @@ def search(indexed: DataFrame, model: Quantizer, similarity: float = SIMILARITY)
         found_m, found_q = [], []
         for at in range(0, len(raw_q), 64):
             tables = model.tables(unit(raw_q[at:at + 64]) - model.lists[here])
-            for i, near in _candidates(tables, codes, errors, radius):
-                near = near[node_m[near] != node_q[at + i]]
-                if len(near):
-                    near = near[cosines(np.broadcast_to(raw_q[at + i], (len(near), dim)), raw_m[near]) >= similarity]
-                    found_m.append(near)
-                    found_q.append(np.full(len(near), at + i))
-        if not found_m:
-            return empty
-        m, q = np.concatenate(found_m), np.concatenate(found_q)
+            q, m = _candidates(tables, codes, errors, radius)
+            for part in np.array_split(np.arange(len(q)), -(-len(q) // 16384)) if len(q) else ():
+                x, y = q[part] + at, m[part]
+                near = (node_q[x] != node_m[y]) & (cosines(raw_q[x], raw_m[y]) >= similarity)
+                found_q.append(x[near])
+                found_m.append(y[near])
+        m, q = np.concatenate([*found_m, np.zeros(0, np.int64)]), np.concatenate([*found_q, np.zeros(0, np.int64)])
         lone = ~answers[m, own[q]]                                    # the member does not search the query's list
         counts_q = np.bincount(q, rows_m[m], len(raw_q)).astype(np.int64)
         counts_m = np.bincount(m[lone], rows_q[q[lone]], len(raw_m)).astype(np.int64)

@@ -99,8 +99,8 @@ def test_looked_up_distances_leave_nothing_out():
     assert np.allclose(errors, np.linalg.norm(model.split(x[here] - model.lists[own[0]]).reshape(len(here), -1) - decoded, axis=1))
     tables = model.tables(x[:50] - model.lists[own[0]])
     for radius in (0.3, 0.9):
-        for i, near in pq._candidates(tables, codes, errors, radius):
-            assert set(np.flatnonzero(np.linalg.norm(x[here] - x[i], axis=1) <= radius)) <= set(near.tolist())
+        found = set(zip(*(v.tolist() for v in pq._candidates(tables, codes, errors, radius))))
+        assert {(i, j) for i in range(50) for j in np.flatnonzero(np.linalg.norm(x[here] - x[i], axis=1) <= radius).tolist()} <= found
 
 
 def test_a_forest_connects_what_the_links_connect():
