@@ -20,9 +20,10 @@ TREES, DEPTH, RATE, BINS = 40, 4, 0.25, 32
 SWITCH_COST = 1.0                              # of a node that is neither kept nor dropped as a whole
 PAGES_AT_ONCE = 64
 
-_RAW = "script|style|noscript|template|svg|iframe|textarea|select|button"
+_RAW = "script|style|iframe|textarea"        # what follows is text up to their end tag, as the standard has it
+_HIDDEN = frozenset("noscript template svg select button".split())
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<title\b[^>]*>(?:[^<]|<(?![a-zA-Z/!]))*(?:</title\s*>)?|<({_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _TOKEN = re.compile(r"[a-z]+")
@@ -60,9 +61,22 @@ class Page:
     segments: list[tuple[int, list[str]]] = field(default_factory=list)
 
 
-def parse(source: str) -> Page:
-    """A forgiving parser: unclosed and stray tags, missing ends and raw-text elements do not break it."""
-    page, stack, names, link, skip, at, seen, fresh = Page(), [], [], 0, 0, 0, 0, True
+def parse(source: str, labelled: bool = True) -> Page:
+    """A forgiving parser: unclosed and stray tags, missing ends and raw-text elements do not break it.
+
+    The text of buttons, selects, icons, templates and noscript is left out up
+    to their end tag or the end of the block around them; one that is closed by
+    itself, or has no end tag anywhere after it, hides nothing, and a block
+    that starts inside a button, select or icon ends it. ``labelled`` reads the
+    mark of the training layouts; pages from outside are parsed without.
+    """
+    page, stack, names, link, hidden, at, seen, fresh = Page(), [], [], 0, 0, 0, 0, True
+    ends: dict[str, int] = {}
+
+    def ends_later(name: str, here: int) -> bool:
+        if name not in ends:
+            ends[name] = max((m.start() for m in re.finditer(f"</{name}", source, re.I)), default=-1)
+        return ends[name] >= here
 
     def open_node(name: str, attributes: str) -> None:
         up = stack[-1] if stack else -1
@@ -75,7 +89,7 @@ def parse(source: str) -> Page:
                     tokens = _TOKEN.findall("".join(values).lower())
                     good += sum(t in _GOOD for t in tokens)
                     bad += sum(t in _BAD for t in tokens)
-                elif key == "data-y":
+                elif labelled and key == "data-y":
                     label = int("".join(values))
         stack.append(len(page.tag))
         names.append(name)
@@ -91,7 +105,7 @@ def parse(source: str) -> Page:
 
     def text(raw: str) -> None:
         nonlocal seen, fresh
-        if skip or not raw:
+        if hidden or not raw:
             return
         decoded = entities.unescape(raw) if "&" in raw else raw
         size = len(decoded)
@@ -114,22 +128,21 @@ def parse(source: str) -> Page:
         at = m.end()
         name = m.group(3)
         if name is None:
-            fresh = fresh if m.group().startswith("<!--") else True
+            fresh = fresh if hidden or m.group().startswith("<!--") else True
             continue
         name = name.lower()
         if name == "head":
-            skip = 0 if m.group(2) else 1
             continue
-        if skip and name in _CLOSES_P:
-            skip = 0
         if name in _INLINE:
             if name == "a":
                 link = 0 if m.group(2) else 1
-            page.inner[stack[-1]] += 1
+            if not hidden:
+                page.inner[stack[-1]] += 1
         elif name in _VOID:
-            page.inner[stack[-1]] += 1
-            if name in ("br", "hr", "input"):
-                fresh = True
+            if not hidden:
+                page.inner[stack[-1]] += 1
+                if name in ("br", "hr", "input"):
+                    fresh = True
         elif m.group(2):
             if name in names:
                 while names[-1] != name:
@@ -137,8 +150,22 @@ def parse(source: str) -> Page:
                     stack.pop()
                 names.pop()
                 stack.pop()
-            link, fresh = 0, True
-        elif not skip:
+            link, fresh = 0, fresh if name == "svg" or hidden and len(names) >= hidden else True
+        elif name in _HIDDEN and not hidden:
+            fresh = fresh if name == "svg" else True
+            if not m.group(4).rstrip().endswith("/") and ends_later(name, at):
+                names.append(name)
+                stack.append(stack[-1])
+                hidden = len(names)
+        else:
+            if hidden and name in _CLOSES_P and names[hidden - 1] in ("button", "select", "svg"):
+                del names[hidden - 1:], stack[hidden - 1:]
+                hidden = 0
+            if hidden:
+                if not m.group(4).rstrip().endswith("/"):
+                    names.append(name)
+                    stack.append(stack[-1])
+                continue
             fresh, link = True, 0
             if name in _CLOSES_P and "p" in names:
                 while names.pop() != "p":
@@ -149,6 +176,8 @@ def parse(source: str) -> Page:
                 if back and names[back] == other:
                     del names[back:], stack[back:]
             open_node(name, m.group(4))
+        if len(names) < hidden:
+            hidden = 0
     text(source[at:])
     return page
 
@@ -360,7 +389,7 @@ def fit(pages: DataFrame) -> Forest:
     sample = known.where(F.col("code").isin(lowest)).groupBy("code").agg(
         F.min(F.substring("html", 1, TRAINING_CHARS)).alias("html")).orderBy("code").collect()
     rng = random.Random(9)
-    parsed = [parse(r["html"]) for r in sample]
+    parsed = [parse(r["html"], labelled=False) for r in sample]
     texts = []
     for page in parsed:
         weak = _weak_labels(page)
@@ -384,7 +413,7 @@ def extract(sources: list[str], forest: Forest) -> list[str]:
     """Main texts of whole pages; nodes of several pages go through the trees together."""
     out = []
     for at in range(0, len(sources), PAGES_AT_ONCE):
-        parsed = [parse(s) for s in sources[at:at + PAGES_AT_ONCE]]
+        parsed = [parse(s, labelled=False) for s in sources[at:at + PAGES_AT_ONCE]]
         margin = forest.margin(node_features(parsed))
         start = 0
         for page in parsed:

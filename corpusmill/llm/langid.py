@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,10 +19,14 @@ EXHAUSTIVE = 7                  # up to this many languages every split is a bit
 AMBIGUOUS = 0.9                 # a score below this is flagged
 BLOCK = 1 << 16                 # bytes of a text that are looked up at once
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _SLOTS = 1 << SLOT_BITS
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; numerals such as one half or a Roman nine are none."""
+    return any(map(str.isalpha, text))
+
+
 def gram_slots(text: str) -> np.ndarray:
     """Slots of the UTF-8 bigrams and trigrams of the lower-cased text, padded by one blank on each side."""
     b = np.frombuffer(b" " + text.lower().encode() + b" ", np.uint8).astype(np.uint32)
@@ -64,7 +67,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous) by loss-weighted decoding of the bits' margins."""
-        if not self.languages or not text or not _LETTER.search(text):
+        if not self.languages or not text or not has_letter(text):
             return UNKNOWN, 0.0, True
         slots = gram_slots(text)
         total = np.zeros(self.code.shape[1])
@@ -96,7 +99,7 @@ def fit(rows: DataFrame) -> LanguageModel:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if _LETTER.search(text):
+                if has_letter(text):
                     held.setdefault(lang, np.zeros(2 * _SLOTS, np.int64))
                     held[lang] += np.bincount(gram_slots(text), minlength=2 * _SLOTS)
         for lang, n in held.items():

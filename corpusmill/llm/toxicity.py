@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,26 +25,41 @@ MOST_EXCEPTIONS = 1_000
 LENGTH_POWERS = (0.0, 0.25, 0.5, 1.0)
 HIGHEST_BIAS = -0.05            # a text without a match is never predicted to be toxic
 
-# Letters that look like Latin ones (Cyrillic, Greek, others). Full-width letters follow by rule.
+# Letters that look like Latin ones (Cyrillic, Greek, others). Styled, circled and full-width letters and marks follow by rule.
 HOMOGLYPHS = str.maketrans(
     "аеорсухіјѕԁԛԝһкмтвнгѵ" "αβεικνορτυχγω" "ıɑɡℓоօոս",
-    "aeopcyxijsdqwhkmtbhrv" "abeiknoptuxyw" "iagloonu") | {c: c - 0xFEE0 for c in range(0xFF21, 0xFF5B)} | {
-    c: None for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
+    "aeopcyxijsdqwhkmtbhrv" "abeiknoptuxyw" "iagloonu") | {c: None for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
 DIGITS = str.maketrans("013457@$!|", "oieastasii")
-_LOOKALIKE = re.compile("[" + "".join(map(chr, HOMOGLYPHS)).replace("\\", "") + "]")
 _DIGIT = re.compile(r"[013457@$!|]")
 _INSIDE = re.compile(r"[013457@$!|]+(?=[^\W\d_])|(?<=[^\W\d_])[013457]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class _Plain(dict):
+    """Character -> plain characters, worked out once each: compatibility form without marks, then the look-alikes."""
+
+    def __missing__(self, code: int) -> str:
+        parts = unicodedata.normalize("NFKD", chr(code).lower()).lower()
+        bare = "".join(c for c in parts if not unicodedata.category(c).startswith("M"))
+        # A digit, sign or blank of another shape keeps its place: only letters are folded.
+        letters = all(map(str.isalpha, bare)) if bare else unicodedata.category(chr(code)).startswith("M")
+        self[code] = (bare if letters else chr(code).lower()).translate(HOMOGLYPHS)
+        return self[code]
+
+
+_PLAIN = _Plain()
+
+
 def fold(text: str) -> str:
     """Lower case, look-alike letters as Latin ones, digits and signs next to letters as the letters they stand for.
 
-    "1" may stand for i or l, so l is written as i throughout.
+    Styled, circled and full-width letters and letters with marks become plain
+    ones, whichever way their marks are written. "1" may stand for i or l, so
+    l is written as i throughout.
     """
     text = text.lower()
-    if not text.isascii() and _LOOKALIKE.search(text):
-        text = text.translate(HOMOGLYPHS).lower()
+    if not text.isascii():
+        text = text.translate(_PLAIN)
     if _DIGIT.search(text):
         text = _INSIDE.sub(lambda m: m.group().translate(DIGITS), text)
     return text.replace("l", "i")
