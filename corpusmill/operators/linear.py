@@ -15,7 +15,8 @@ from corpusmill.functions.numeric import log_loss_term, sigmoid
 from corpusmill.operators.naive_bayes import LinearScorer, class_sizes
 from corpusmill.session import broadcast_bounded
 
-_BIAS, _LOSS, _COUNT = -1, -2, -3
+_BLOCK = 2048        # features whose sums travel as one row
+_DIRECT = 16         # partitions whose sums go to the driver as they are; those of more are added up by Spark first
 
 
 @dataclass
@@ -25,6 +26,9 @@ class DescentModel:
     weights: np.ndarray
     bias: float
     costs: list[tuple[int, float]] = field(default_factory=list)
+    steps: int = 0                  # updates made
+    norm: float = float("nan")      # of the gradient before the last update, or at the weights where the run stopped
+    first_norm: float = float("nan")
 
     def weight_frame(self, spark) -> DataFrame:
         rows = [(i, float(w)) for i, w in enumerate(self.weights)]
@@ -37,77 +41,169 @@ class DescentModel:
         return spark.createDataFrame(self.costs, "iteration int, cost double")
 
 
+@dataclass(frozen=True)
+class DescentRun:
+    """Settings of one descent."""
+
+    learning_rate: float = 0.05
+    regularization: float = 0.001
+
+
 def _gradient_task(shared, size):
-    """Partial gradient of a partition: at most one row per feature leaves it."""
+    """Gradient sums of a partition for every run: blocks of features, then one row with the other sums."""
     def run(batches):
         weights, bias = shared.value
-        grad, d_bias, loss, count = np.zeros(size), 0.0, 0.0, 0
+        runs = len(bias)
+        total, rest = np.zeros((runs, size)), np.zeros((3, runs))
         for batch in batches:
             idx, val = batch.column("idx"), batch.column("val")
             y = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
-            lengths = np.diff(idx.offsets.to_numpy())
             cols, x = idx.flatten().to_numpy(), val.flatten().to_numpy()
-            row = np.repeat(np.arange(len(y)), lengths)
-            z = np.bincount(row, weights=x * weights[cols], minlength=len(y)) + bias
-            p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-            diff = p - y
-            grad += np.bincount(cols, weights=x * diff[row], minlength=size)
-            q = np.clip(p, 1e-15, 1 - 1e-15)
-            d_bias += diff.sum()
-            loss -= (y * np.log(q) + (1 - y) * np.log(1 - q)).sum()
-            count += len(y)
-        used = np.flatnonzero(grad)
-        keys = np.concatenate([used, [_BIAS, _LOSS, _COUNT]]).astype(np.int32)
-        sums = np.concatenate([grad[used], [d_bias, loss, count]])
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["term_idx", "g"])
+            row = np.repeat(np.arange(len(y)), np.diff(idx.offsets.to_numpy()))
+            for r in range(runs):
+                z = np.bincount(row, weights=x * weights[r][cols], minlength=len(y)) + bias[r]
+                p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+                diff = p - y
+                total[r] += np.bincount(cols, weights=x * diff[row], minlength=size)
+                q = np.clip(p, 1e-15, 1 - 1e-15)
+                rest[0, r] += diff.sum()
+                rest[1, r] -= (y * np.log(q) + (1 - y) * np.log(1 - q)).sum()
+                rest[2, r] += len(y)
+        parts = [total[:, at:at + _BLOCK] for at in range(0, size, _BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array([*range(len(parts)), -1], pa.int32()), pa.array([p.tobytes() for p in [*parts, rest]], pa.binary())], ["block", "sums"])
     return run
 
 
-def _full_pass(rows: DataFrame, weights: np.ndarray, bias: float):
-    """Gradient sums over all rows; the answer is one row per feature."""
-    sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast((weights, bias))
-    parts = rows.select("label", "idx", "val").mapInArrow(
-        _gradient_task(shared, len(weights)), "term_idx int, g double")
-    sums = parts.groupBy("term_idx").agg(F.sum("g").alias("g")).toPandas()
+def _add_blocks(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(v) for v in group["sums"].to_pylist())
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def _full_pass(rows: DataFrame, weights: np.ndarray, bias: np.ndarray, partitions: int):
+    """Gradient, bias gradient and loss sums of all runs over all rows, and the rows.
+
+    What the driver gets is sized by the features and runs: beyond a few
+    partitions blocks of features are added up by Spark, in two levels.
+    """
+    runs, size = weights.shape
+    shared = rows.sparkSession.sparkContext.broadcast((weights, bias))
+    parts = rows.select("label", "idx", "val").mapInArrow(_gradient_task(shared, size), "block int, sums binary")
+    if partitions > _DIRECT:
+        salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(max(2, int(partitions ** 0.5)))))
+        parts = salted.groupBy("block", "salt").applyInArrow(_add_blocks, "block int, sums binary")
+        parts = parts.groupBy("block").applyInArrow(_add_blocks, "block int, sums binary")
+    grad, rest = np.zeros((runs, size)), np.zeros((3, runs))
+    answer = parts.toArrow()
+    for block, sums in zip(answer["block"].to_pylist(), answer["sums"].to_pylist()):
+        got = np.frombuffer(sums).reshape(3 if block < 0 else runs, -1)
+        if block < 0:
+            rest += got
+        else:
+            grad[:, block * _BLOCK:block * _BLOCK + got.shape[1]] += got
     shared.destroy()
-    grad = np.zeros(len(weights))
-    main = sums[sums.term_idx >= 0]
-    grad[main.term_idx.to_numpy()] = main.g.to_numpy()
-    extra = dict(zip(sums.term_idx, sums.g))
-    return grad, extra[_BIAS], extra[_LOSS], int(extra[_COUNT])
+    return grad, rest[0], rest[1], int(rest[2, 0])
 
 
-def logreg_gd(rows: DataFrame, size: int, learning_rate: float = 0.05, n_iterations: int = 1500,
-              regularization: float = 0.001, snapshots: tuple[int, ...] = ()):
-    """Full-batch gradient descent from zero weights.
+class DescentState:
+    """Weights of a descent in the shared folder, so that a new driver goes on where the last one stopped.
+
+    Every save is a folder of its own, complete only with Spark's success
+    mark; a save that was broken off is passed over.
+    """
 
-    ``rows`` (doc_id, label, idx, val) should be persisted or read from a table:
-    each iteration passes over it once. With ``snapshots`` the models after
-    those iteration counts are returned as well, so a search over iteration
-    counts trains once. The cost is noted after every 100th update.
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def save(self, step: int, weights, bias, steps, norm, start, kept, costs) -> None:
+        rows = [(r, "weights", int(steps[r]), 0, float(bias[r]), weights[r].tolist(), float(norm[r]), float(start[r])) for r in range(len(bias))]
+        rows += [(r, "snapshot", m.steps, n, float(m.bias), m.weights.tolist(), float(m.norm), 0.0) for (r, n), m in kept.items()]
+        rows += [(r, "cost", i, 0, float(c), [], 0.0, 0.0) for r, history in enumerate(costs) for i, c in history]
+        frame = self.spark.createDataFrame(rows, "run int, kind string, step int, at int, bias double, weights array<double>, norm double, start double")
+        frame.write.mode("overwrite").parquet(f"{self.path}/step-{step:08d}")
+
+    def last(self):
+        """(step, rows) of the newest complete save, or None."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return None
+        saves = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("step-")]
+        path_type = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        whole = sorted(p.getName() for p in saves if files.exists(path_type(p, "_SUCCESS")))
+        return (int(whole[-1][5:]), self.spark.read.parquet(f"{self.path}/{whole[-1]}").collect()) if whole else None
+
+
+def descend(rows: DataFrame, size: int, runs: list[DescentRun], n_iterations: int = 1500, snapshots: tuple[int, ...] = (),
+            tolerance: float = 0.0, state: str | None = None, every: int = 100) -> tuple[list[DescentModel], dict[tuple[int, int], DescentModel]]:
+    """Full-batch descents of several settings from zero weights; one scan of ``rows`` updates all of them.
+
+    A run stops once the norm of its gradient is at most ``tolerance`` times
+    that of its first gradient; its later snapshots are the weights it stopped with. The cost is noted after
+    every 100th update. With ``state`` the weights are written to that shared
+    folder every ``every`` updates, and a call that finds a save goes on from it.
+    Returns the final model of each run and those after the ``snapshots``
+    iteration counts by (run, count). ``rows`` (doc_id, label, idx, val) should
+    be persisted or read from a table; without rows all models are zero.
     """
-    weights, bias, costs, kept = np.zeros(size), 0.0, [], {}
-    due = None
-    for i in range(n_iterations):
-        grad, d_bias, loss, n = _full_pass(rows, weights, bias)
-        if due is not None:
-            costs.append((due, loss / n + regularization / (2 * n) * float(weights @ weights)))
-            due = None
-        step = grad / n
-        if regularization > 0:
-            step = step + regularization / n * weights
-        weights = weights - learning_rate * step
-        bias -= learning_rate * d_bias / n
-        if i % 100 == 0:
-            due = i
+    count, partitions = len(runs), rows.rdd.getNumPartitions()
+    weights, bias = np.zeros((count, size)), np.zeros(count)
+    rate, penalty = (np.array([getattr(r, n) for r in runs]) for n in ("learning_rate", "regularization"))
+    done, norm, steps = np.zeros(count, bool), np.full(count, np.nan), np.zeros(count, int)
+    costs, kept, first, start = [[] for _ in runs], {}, 0, np.full(count, np.nan)
+    store = DescentState(rows.sparkSession, state) if state else None
+    found = store.last() if store else None
+    if found:
+        first, saved = found
+        for r in saved:
+            if r.kind == "weights":
+                weights[r.run], bias[r.run], steps[r.run], norm[r.run], start[r.run] = r.weights, r.bias, r.step, r.norm, r.start
+            elif r.kind == "cost":
+                costs[r.run].append((r.step, r.bias))
+        costs = [sorted(c) for c in costs]
+        kept = {(r.run, r.at): DescentModel(np.array(r.weights), r.bias, [c for c in costs[r.run] if c[0] < r.at - 1], r.step, r.norm, float(start[r.run])) for r in saved if r.kind == "snapshot"}
+        done[:] = norm <= tolerance * start
+
+    def model(r: int) -> DescentModel:
+        return DescentModel(weights[r].copy(), float(bias[r]), list(costs[r]), int(steps[r]), float(norm[r]), float(start[r]))
+
+    for i in range(first, n_iterations + 1):
+        live = np.flatnonzero(~done)
+        note = i and (i - 1) % 100 == 0
+        if not len(live) or i == n_iterations and not (note or tolerance):
+            break
+        grad, d_bias, loss, n = _full_pass(rows, weights[live], bias[live], partitions)
+        if not n:
+            break
+        if note:
+            for k, r in enumerate(live):
+                costs[r].append((i - 1, float(loss[k] / n + penalty[r] / (2 * n) * (weights[r] @ weights[r]))))
+        step = grad / n + (penalty[live] / n)[:, None] * weights[live]
+        norm[live] = np.sqrt((step ** 2).sum(axis=1) + (d_bias / n) ** 2)
+        if i == 0:
+            start[:] = norm
+        done[live] = norm[live] <= tolerance * start[live]
+        if i == n_iterations:
+            break
+        moving = ~done[live]
+        weights[live[moving]] -= rate[live[moving], None] * step[moving]
+        bias[live[moving]] -= rate[live[moving]] * d_bias[moving] / n
+        steps[live[moving]] += 1
         if i + 1 in snapshots:
-            kept[i + 1] = DescentModel(weights, bias, list(costs))
-    if due is not None:
-        _, _, loss, n = _full_pass(rows, weights, bias)
-        costs.append((due, loss / n + regularization / (2 * n) * float(weights @ weights)))
-    model = DescentModel(weights, bias, costs)
-    return (model, kept) if snapshots else model
+            kept.update({(r, i + 1): model(r) for r in range(count)})
+        if store and (i + 1) % every == 0:
+            store.save(i + 1, weights, bias, steps, norm, start, kept, costs)
+    final = [model(r) for r in range(count)]
+    for r in range(count):
+        for n in snapshots:
+            kept.setdefault((r, n), final[r])
+    return final, kept
+
+
+def logreg_gd(rows: DataFrame, size: int, learning_rate: float = 0.05, n_iterations: int = 1500,
+              regularization: float = 0.001, snapshots: tuple[int, ...] = (), tolerance: float = 0.0, state: str | None = None):
+    """``descend`` of one setting; with ``snapshots`` the models after those iteration counts as well."""
+    final, kept = descend(rows, size, [DescentRun(learning_rate, regularization)], n_iterations, snapshots, tolerance, state)
+    return (final[0], {n: m for (_, n), m in kept.items()}) if snapshots else final[0]
 
 
 def log_loss(scored: DataFrame, weights: DataFrame, regularization: float = 0.0) -> DataFrame:
@@ -152,6 +248,20 @@ def svm_linear(vectors: DataFrame, n_rows: int, c: float = 1.0, balanced: bool =
     return LinearSVC(regParam=1.0 / (c * n_rows), standardization=False, maxIter=max_iter, **kwargs).fit(vectors)
 
 
+def hinge_objective(model: LinearSVCModel, vectors: DataFrame, balanced: bool = False) -> float:
+    """What the SVM minimises, over the rows it was fitted on: weighted mean hinge loss and penalty.
+
+    Zero weights have 1 here, so a fit that ends above 1 has failed.
+    """
+    if balanced:
+        vectors = vectors.join(F.broadcast(balanced_weights(vectors)), "label")
+    weight = F.col("class_weight") if balanced else F.lit(1.0)
+    margin = vector_to_array("rawPrediction")[1] * (2 * F.col("label") - 1)
+    loss = model.transform(vectors).agg(F.sum(weight * F.greatest(F.lit(0.0), 1 - margin)) / F.sum(weight)).first()[0]
+    w = model.coefficients.toArray()
+    return float(loss) + model.getRegParam() / 2 * float(w @ w)
+
+
 def decision_scores(predicted: DataFrame) -> DataFrame:
     """Add ``score``: the margin, else P(class 1), else the label itself."""
     if "rawPrediction" in predicted.columns:

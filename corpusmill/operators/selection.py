@@ -9,12 +9,14 @@ from __future__ import annotations
 import time
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusmill.operators.curves import auc_roc
-from corpusmill.operators.linear import logreg_gd
+from corpusmill.operators.linear import DescentRun, descend
 from corpusmill.operators.metrics import binary_metrics, confusion_counts, weighted_metrics
 from corpusmill.operators.naive_bayes import KINDS, cv_scores, with_prediction
 from corpusmill.session import materialize
@@ -108,23 +110,51 @@ def leaderboard(results: DataFrame) -> DataFrame:
     return results.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
 
 
-def grid_search_holdout(train_rows: DataFrame, valid_rows: DataFrame, score_valid, size: int, space: dict) -> DataFrame:
-    """Accuracy of every configuration on one validation side.
+def grid_search_holdout(train_rows: DataFrame, valid_rows: DataFrame, size: int, space: dict, tolerance: float = 0.0,
+                        state: str | None = None) -> DataFrame:
+    """Every configuration of ``space`` on one validation side, in the order of the grid.
 
-    Runs that differ only in the number of iterations share one descent: the
-    longest is trained and the shorter ones are its snapshots. ``score_valid``
-    maps a model to a scored validation frame.
+    All runs descend together: one scan of ``train_rows`` updates a matrix of
+    weights, and iteration counts are snapshots of their run. All models then
+    score ``valid_rows`` in one scan as well. Rows: run_no, the settings, steps
+    (fewer than n_iterations where the run stopped by ``tolerance``), norm,
+    n_valid, accuracy, f1_score.
     """
     spark = train_rows.sparkSession
-    counts = tuple(sorted(space["n_iterations"]))
-    rows = []
-    for lr, reg in product(space["learning_rate"], space["regularization"]):
-        _, kept = logreg_gd(train_rows, size, lr, counts[-1], reg, snapshots=counts)
-        for n in counts:
-            conf = binary_metrics(confusion_counts(score_valid(kept[n], valid_rows))).first()
-            rows.append((float(lr), int(n), float(reg), float(conf.accuracy), float(conf.f1_score)))
-    return spark.createDataFrame(rows, "learning_rate double, n_iterations int, regularization double, "
-                                       "accuracy double, f1_score double")
+    counts = sorted(space["n_iterations"])
+    pairs = list(product(space["learning_rate"], space["regularization"]))
+    _, kept = descend(train_rows, size, [DescentRun(lr, reg) for lr, reg in pairs], counts[-1], tuple(counts), tolerance, state)
+    grid = [(lr, n, reg) for lr, n, reg in product(space["learning_rate"], space["n_iterations"], space["regularization"])]
+    models = [kept[pairs.index((lr, reg)), n] for lr, n, reg in grid]
+    settings = spark.createDataFrame(
+        [(i, float(lr), int(n), float(reg), m.steps, float(m.norm)) for i, ((lr, n, reg), m) in enumerate(zip(grid, models))],
+        "run_no int, learning_rate double, n_iterations int, regularization double, steps int, norm double")
+    confusion = confusion_counts(score_all(valid_rows, models), "run_no")
+    scores = binary_metrics(confusion).select("run_no", (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).cast("long").alias("n_valid"), "accuracy", "f1_score")
+    return settings.join(F.broadcast(scores), "run_no", "left")     # a row per configuration
+
+
+def score_all(rows: DataFrame, models: list) -> DataFrame:
+    """(run_no, label, pred) of every row under every model, from one scan; the models travel as one matrix."""
+    weights, bias = np.stack([m.weights for m in models]), np.array([m.bias for m in models])
+    shared = rows.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def run(batches):
+        weights, bias = shared.value
+        for batch in batches:
+            idx, val = batch.column("idx"), batch.column("val")
+            cols, x = idx.flatten().to_numpy(), val.flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(idx.offsets.to_numpy()))
+            for r in range(len(bias)):
+                z = np.bincount(row, weights=x * weights[r][cols], minlength=batch.num_rows) + bias[r]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(z), r, np.int32)), batch.column("label"), pa.array((z >= 0).astype(np.int32))], ["run_no", "label", "pred"])
+
+    return rows.select("label", "idx", "val").mapInArrow(run, "run_no int, label int, pred int")
+
+
+def best_configuration(results: DataFrame, score: str = "accuracy") -> DataFrame:
+    """The winner: the first row, in the order of the grid, that no other exceeds."""
+    return results.orderBy(F.desc(F.round(score, 12)), "run_no").limit(1)
 
 
 def cv_grid_gbt(vectors: DataFrame, grid: dict, k: int = 5, seed: int = 42) -> DataFrame:

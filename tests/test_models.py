@@ -47,6 +47,83 @@ def test_cost_falls(spark):
     assert [i for i, _ in model.costs] == [0, 100] and model.costs[1][1] < model.costs[0][1]
 
 
+def test_many_runs_equal_single_ones(spark):
+    df = rows(spark, 20).persist()          # more partitions than are added up by the driver
+    runs = [G.DescentRun(lr, reg) for lr in (0.1, 0.5) for reg in (0.0, 1.0)]
+    final, kept = G.descend(df, 6, runs, 7, (3, 7))
+    for r, run in enumerate(runs):
+        for n in (3, 7):
+            w, b, _ = numpy_descent(n, run.learning_rate, run.regularization)
+            assert np.allclose(kept[r, n].weights, w) and math.isclose(kept[r, n].bias, b) and kept[r, n].steps == n
+        assert np.allclose(final[r].weights, kept[r, 7].weights)
+
+
+def test_a_run_stops_by_its_gradient(spark):
+    df = rows(spark).persist()
+    runs = [G.DescentRun(1.0, 0.1), G.DescentRun(0.05, 0.1)]
+    final, kept = G.descend(df, 6, runs, 60, (5, 60), tolerance=0.3)
+    assert final[0].steps < final[1].steps <= 60 and final[0].norm <= 0.3 * final[0].first_norm
+    w, b, _ = numpy_descent(final[0].steps, 1.0)
+    assert np.allclose(final[0].weights, w) and np.allclose(kept[0, 60].weights, w)
+    before, _, _ = numpy_descent(final[0].steps - 1, 1.0)
+    p = 1 / (1 + np.exp(-(X @ before + numpy_descent(final[0].steps - 1, 1.0)[1])))
+    norm = np.sqrt(((X.T @ (p - Y) / 40 + 0.1 / 40 * before) ** 2).sum() + (p - Y).mean() ** 2)
+    assert norm > 0.3 * final[0].first_norm
+
+
+def test_a_descent_goes_on_from_its_state(spark, tmp_path):
+    df, runs = rows(spark).persist(), [G.DescentRun(0.5, 0.1), G.DescentRun(2.0, 0.1)]
+    whole, kept = G.descend(df, 6, runs, 130, (40, 130), tolerance=0.05)
+    path = f"file://{tmp_path}/state"
+    G.descend(df, 6, runs, 75, (40,), tolerance=0.05, state=path, every=50)     # ends as if its driver had been lost
+    (tmp_path / "state/step-00000060").mkdir()                                   # a save that was broken off
+    again, kept_again = G.descend(df, 6, runs, 130, (40, 130), tolerance=0.05, state=path, every=50)
+    assert G.DescentState(spark, path).last()[0] == 100
+    for a, b in zip([*whole, *(kept[k] for k in sorted(kept))], [*again, *(kept_again[k] for k in sorted(kept_again))]):
+        assert np.allclose(a.weights, b.weights) and math.isclose(a.bias, b.bias) and a.steps == b.steps
+    assert [c[0] for c in again[0].costs] == [c[0] for c in whole[0].costs] and np.allclose([c[1] for c in again[0].costs], [c[1] for c in whole[0].costs])
+
+
+def test_search_table_winner_and_pivots(spark):
+    from corpusmill.operators import selection as L
+    df = rows(spark).persist()
+    space = {"learning_rate": [0.1, 1.0], "n_iterations": [2, 5], "regularization": [0.0, 10.0]}
+    table = L.grid_search_holdout(df, df, 6, space).persist()
+    got = {(r.learning_rate, r.n_iterations, r.regularization): r for r in table.collect()}
+    assert [k for k, r in sorted(got.items(), key=lambda x: x[1].run_no)] == [(lr, n, g) for lr in (0.1, 1.0) for n in (2, 5) for g in (0.0, 10.0)]
+    want = {}
+    for lr, n, g in got:
+        w, b, _ = numpy_descent(n, lr, g)
+        want[lr, n, g] = ((X @ w + b >= 0).astype(int) == Y).mean()
+        assert math.isclose(got[lr, n, g].accuracy, want[lr, n, g]) and got[lr, n, g].n_valid == 40
+    best = L.best_configuration(table).first()
+    top = max(want.values())
+    assert best.run_no == min(r.run_no for k, r in got.items() if math.isclose(want[k], top))
+    pivot = {r.learning_rate: r["5"] for r in L.param_pivot(table.withColumnRenamed("accuracy", "score"), "learning_rate", "n_iterations", [2, 5]).collect()}
+    assert all(math.isclose(pivot[lr], (want[lr, 5, 0.0] + want[lr, 5, 10.0]) / 2) for lr in pivot)
+
+
+def test_hinge_objective(spark):
+    from corpusmill.operators.vectors import vector_frame
+    vectors = vector_frame(rows(spark), 6)
+    model = G.svm_linear(vectors, 40, c=0.5)
+    w, b = model.coefficients.toArray(), model.intercept
+    margins = (X @ w + b) * (2 * Y - 1)
+    want = np.maximum(0, 1 - margins).mean() + 1 / 0.5 / 40 / 2 * w @ w
+    assert math.isclose(G.hinge_objective(model, vectors), want) and want < 1
+
+
+def test_landmarks_cover_what_is_left(spark):
+    df = rows(spark)
+    coverage = R.Coverage([], [])
+    R.fit_nystrom(df, 6, R.KernelSpec("rbf", 2.0), m=16, passes=4, coverage=coverage)
+    assert coverage.landmarks == [0, 4, 8, 12, 16] and coverage.error[0] == 1
+    assert all(a > b for a, b in zip(coverage.error, coverage.error[1:])) and coverage.error[-1] < 0.4
+    whole = R.Coverage([], [])
+    R.fit_nystrom(df, 6, R.KernelSpec("rbf", 2.0), m=1000, coverage=whole)
+    assert whole.error[-1] < 1e-6
+
+
 @pytest.mark.parametrize("spec", [R.KernelSpec("rbf", 0.7), R.KernelSpec("poly", 1.0, degree=2, coef0=1.0)])
 def test_map_is_exact_with_all_rows_as_landmarks(spark, spec):
     df = rows(spark)
