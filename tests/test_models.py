@@ -103,6 +103,25 @@ def test_search_table_winner_and_pivots(spark):
     assert all(math.isclose(pivot[lr], (want[lr, 5, 0.0] + want[lr, 5, 10.0]) / 2) for lr in pivot)
 
 
+def test_tuner_picks_by_a_custom_metric(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from corpusmill.operators import selection as L
+    from corpusmill.operators.vectors import vector_frame
+    df = vector_frame(rows(spark), 6).withColumn("fold", (F.col("doc_id") % 2).cast("int")).persist()
+    tuned = L.cross_validated(df, LogisticRegression(maxIter=5), {"regParam": [0.001, 1.0]}, L.SpecificityEvaluator(), k=2, parallelism=2)
+    got = {(r.setting, r.fold): r for r in tuned.table.collect()}
+    assert len(got) == 4
+    means = []
+    for s, reg in enumerate([0.001, 1.0]):
+        for fold in (0, 1):
+            model = LogisticRegression(maxIter=5, regParam=reg).fit(df.where(F.col("fold") != fold))
+            for side, score in ((F.col("fold") == fold, got[s, fold].test_score), (F.col("fold") != fold, got[s, fold].train_score)):
+                out = model.transform(df.where(side)).where("label = 0").agg(F.avg((F.col("prediction") == 0).cast("double"))).first()[0]
+                assert math.isclose(score, out) and got[s, fold].regParam == reg
+        means.append(sum(got[s, fold].test_score for fold in (0, 1)))
+    assert tuned.best == int(np.argmax(means))
+
+
 def test_hinge_objective(spark):
     from corpusmill.operators.vectors import vector_frame
     vectors = vector_frame(rows(spark), 6)
