@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -22,6 +23,7 @@ FIRST, SECOND = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.
 STRIDE = 8                # every so many ends are searched first and anchor those between them
 TEXT_BYTES = 1 << 19      # of texts that a worker aligns at once; a longer text goes alone
 HELD_PAIRS = 4_000_000    # pair counts that a task holds before it sums or passes them on
+ROWS_PER_BATCH = 1000     # rows of an Arrow batch: long token lists pass between the JVM and Python in small pieces
 FREQUENT = 1 << 18        # most linked pairs whose counts are sent to the workers; rarer ones are joined
 
 # Fixed value: the pattern that the byte-level pre-tokenizer of the vocabulary file splits by.
@@ -213,6 +215,18 @@ def _distinct(rows: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return pairs[new]
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``ROWS_PER_BATCH`` rows for the jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(ROWS_PER_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _files(first: str, second: str) -> tuple[bytes, bytes]:
     return Path(first).read_bytes(), Path(second).read_bytes()
 
@@ -261,7 +275,8 @@ def encode_documents(docs: DataFrame, first: str = FIRST, second: str = SECOND,
     names = ["id", "a", "b", "pair", "n"]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, a array<int>, b array<int>, pair bigint, n bigint")
-    return materialize(out.withColumn("row", F.monotonically_increasing_id()), "token-lists")
+    with _small_batches(docs.sparkSession):
+        return materialize(out.withColumn("row", F.monotonically_increasing_id()), "token-lists")
 
 
 def documents_of(encoded: DataFrame) -> DataFrame:
@@ -386,7 +401,8 @@ def summaries(encoded: DataFrame, first: str = FIRST, second: str = SECOND) -> D
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in per_row), pa.array(digests, pa.string()), rest], names)
 
     names = ["row", "id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "rare"]
-    found = materialize(documents.mapInArrow(run, f"row bigint, id {id_type}, " + ", ".join(f"{n} bigint" for n in names[2:8]) + ", groups string, rare array<bigint>"), "alignments")
+    with _small_batches(spark):
+        found = materialize(documents.mapInArrow(run, f"row bigint, id {id_type}, " + ", ".join(f"{n} bigint" for n in names[2:8]) + ", groups string, rare array<bigint>"), "alignments")
     linked = found.where(F.size("rare") > 0).select("row", F.explode("rare").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("links"))
     more = linked.join(counts, "pair").groupBy("row").agg(
         F.sum(F.col("links") * F.col("best").cast("long")).alias("more_best"), F.sum(F.col("links") * F.col("n")).alias("more_sum"))
