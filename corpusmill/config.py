@@ -56,6 +56,24 @@ class LinearConfig:
     })
 
 
+# The published configurations of the comparison, in their order.
+SVM_CONFIGS = (
+    {"name": "Linear_C1", "kernel": "linear", "c": 1.0},
+    {"name": "Linear_C10", "kernel": "linear", "c": 10.0},
+    {"name": "Linear_C0.1", "kernel": "linear", "c": 0.1},
+    {"name": "RBF_scale", "kernel": "rbf", "c": 1.0, "gamma": "scale"},
+    {"name": "RBF_0.1", "kernel": "rbf", "c": 1.0, "gamma": 0.1},
+    {"name": "RBF_10", "kernel": "rbf", "c": 1.0, "gamma": 10.0},
+    {"name": "Poly_deg3", "kernel": "poly", "c": 1.0, "gamma": "scale", "degree": 3},
+    {"name": "Poly_deg4", "kernel": "poly", "c": 1.0, "gamma": "scale", "degree": 4},
+    {"name": "Sigmoid", "kernel": "sigmoid", "c": 1.0, "gamma": "scale"},
+    {"name": "Linear_balanced", "kernel": "linear", "c": 1.0, "balanced": True},
+)
+
+# The published search space of the boosted trees. Leaf penalties have no counterpart in Spark's trees.
+TREE_SPACE = {"n_estimators": [90], "max_depth": [3, 5, 7], "learning_rate": [0.1], "subsample": [0.6], "gamma": [0.1, 1, 2], "reg_lambda": [0.1, 1, 2]}
+
+
 def feature_config_from_json(text: str) -> FeatureConfig:
     return FeatureConfig(**json.loads(text))
 

@@ -168,43 +168,68 @@ class Tuned:
     best: int
 
 
+def _timed(estimator):
+    """The same estimator, whose models carry the seconds of their fit."""
+    def fit(self, dataset):
+        start = time.perf_counter()
+        model = super(kind, self)._fit(dataset)
+        model.fit_seconds = time.perf_counter() - start
+        return model
+
+    kind = type(f"Timed{type(estimator).__name__}", (type(estimator),), {"_fit": fit})
+    timed = estimator.copy()
+    timed.__class__ = kind
+    return timed
+
+
 def cross_validated(vectors: DataFrame, estimator, grid: dict, evaluator: Evaluator, k: int = 5, parallelism: int = 4) -> Tuned:
     """Every setting of ``grid`` on every fold, ``parallelism`` fits at a time.
 
     ``vectors`` has label, features and ``fold`` (0 to k - 1) and should be
     persisted. The fitted model of every fold is kept until it has been scored
-    on both sides. Rows: setting, the parameters, fold, train_score, test_score.
-    The best setting is the tuner's own: the first with the best mean.
+    on both sides. Rows: setting, the parameters, fold, train_score, test_score,
+    fit_seconds (of that fit, beside those running with it). The best setting is the tuner's own: the first with the best mean.
     """
     spark = vectors.sparkSession
     names = sorted(grid)
     settings = list(product(*[grid[n] for n in names]))
     maps = [{getattr(estimator, n): v for n, v in zip(names, values)} for values in settings]
     folded = vectors.withColumn("fold", F.col("fold").cast("int"))
-    tuner = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=k, foldCol="fold",
+    tuner = CrossValidator(estimator=_timed(estimator), estimatorParamMaps=maps, evaluator=evaluator, numFolds=k, foldCol="fold",
                            parallelism=parallelism, collectSubModels=True)
     model = tuner.fit(folded)
 
     def scores(cell):
         fold, setting = cell
-        scored = model.subModels[fold][setting].transform(folded)
+        fitted = model.subModels[fold][setting]
+        scored = fitted.transform(folded)
         train, test = (evaluator.evaluate(scored.where(side)) for side in (F.col("fold") != fold, F.col("fold") == fold))
-        return (setting, *[float(v) for v in settings[setting]], fold, float(train), float(test))
+        return (setting, *[float(v) for v in settings[setting]], fold, float(train), float(test), fitted.fit_seconds)
 
     with ThreadPool(parallelism) as pool:
         rows = pool.map(scores, list(product(range(k), range(len(settings)))))
     pick = np.argmax if evaluator.isLargerBetter() else np.argmin
     columns = ", ".join(f"{n} double" for n in names)
-    return Tuned(spark.createDataFrame(rows, f"setting int, {columns}, fold int, train_score double, test_score double"), int(pick(model.avgMetrics)))
+    return Tuned(spark.createDataFrame(rows, f"setting int, {columns}, fold int, train_score double, test_score double, fit_seconds double"), int(pick(model.avgMetrics)))
+
+
+def search_summary(tuned: Tuned) -> DataFrame:
+    """One row for the best setting: mean and deviation of its fold scores, mean seconds of a fit."""
+    return tuned.table.where(F.col("setting") == tuned.best).groupBy("setting").agg(
+        F.avg("test_score").alias("mean_score"), F.stddev_pop("test_score").alias("std_score"),
+        F.avg("fit_seconds").alias("mean_fit_time"), F.count("*").alias("n_folds"))
+
+
+def tree_grid(space: dict, n_rows: int) -> dict:
+    """A tree search space in Spark's names. ``gamma`` is a gain of all rows there, a gain per row here; ``reg_lambda`` has no counterpart and is left out."""
+    return {"maxIter": space["n_estimators"], "maxDepth": space["max_depth"], "stepSize": space["learning_rate"],
+            "subsamplingRate": space["subsample"], "minInfoGain": [g / max(n_rows, 1) for g in space["gamma"]]}
 
 
 def cv_grid_gbt(vectors: DataFrame, grid: dict, k: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Fold accuracies (train and test) of every tree setting, and the mean seconds of a fit with ``parallelism`` of them at a time."""
-    start = time.perf_counter()
+    """Fold accuracies (train and test) and fit seconds of every tree setting, ``parallelism`` fits at a time."""
     tuned = cross_validated(vectors, GBTClassifier(seed=seed), grid, MulticlassClassificationEvaluator(metricName="accuracy"), k, parallelism)
-    fits = k * int(np.prod([len(v) for v in grid.values()])) + 1
-    took = (time.perf_counter() - start) * parallelism / fits
-    return tuned.table.drop("setting").withColumn("fit_seconds", F.lit(took))
+    return tuned.table.drop("setting")
 
 
 def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kind: str, alpha: float,
@@ -263,23 +288,28 @@ def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kin
         F.avg("test").alias("cv_mean"), F.stddev_pop("test").alias("cv_std"))
 
 
-def multi_config_compare(configs: list[dict], fit, score_internal, score_external, spark) -> DataFrame:
-    """Train and time every named configuration, then score both corpora.
+def multi_config_compare(configs: list[dict], fit, score_internal, score_external, spark, parallelism: int = 1) -> DataFrame:
+    """Train and time every named configuration, then score both corpora; ``parallelism`` configurations at a time.
 
     ``fit(config)`` returns a model; the scorers return label/pred/score frames.
+    One row per configuration, in the order given. Times include the waiting
+    for executors that fits running beside one another cause.
     """
-    rows = []
-    for number, config in enumerate(configs):
+    def run(numbered):
+        number, config = numbered
         start = time.perf_counter()
         model = fit(config)
         took = time.perf_counter() - start
         inner = weighted_metrics(confusion_counts(score_internal(model))).first()
-        outer_frame = score_external(model).persist()
+        outer_frame = materialize(score_external(model).select("label", "pred", "score"), "compared")
         outer = weighted_metrics(confusion_counts(outer_frame)).first()
         auc = auc_roc(outer_frame).first().auc_roc
-        outer_frame.unpersist()
-        rows.append((number, config["name"], inner.accuracy, outer.accuracy, outer.precision_weighted,
-                     outer.recall_weighted, outer.specificity, outer.f1_weighted, auc, took))
-    return spark.createDataFrame(rows, "run_no int, config_name string, internal_acc double, external_acc double, "
+        return (number, config["name"], inner.tp + inner.tn + inner.fp + inner.fn, inner.accuracy,
+                outer.tp + outer.tn + outer.fp + outer.fn, outer.accuracy, outer.precision_weighted,
+                outer.recall_weighted, outer.specificity, outer.f1_weighted, auc, took)
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(run, list(enumerate(configs)), chunksize=1)
+    return spark.createDataFrame(rows, "run_no int, config_name string, n_internal long, internal_acc double, n_external long, external_acc double, "
                                        "precision double, recall double, specificity double, f1_score double, "
                                        "auc_score double, training_time double")

@@ -8,7 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession, Window, functions as F
 
-from corpusmill.config import FeatureConfig, LinearConfig
+from corpusmill.config import SVM_CONFIGS, FeatureConfig, LinearConfig
 from corpusmill.operators import kernel as R
 from corpusmill.operators import linear as G
 from corpusmill.operators import naive_bayes as N
@@ -16,6 +16,7 @@ from corpusmill.operators import protect as Q
 from corpusmill.operators import selection as L
 from corpusmill.operators import split as Y
 from corpusmill.operators import terms as X
+from corpusmill.operators import textmodel as T
 from corpusmill.operators import tfidf as V
 from corpusmill.operators import trees as D
 from corpusmill.operators.curves import auc_roc
@@ -356,30 +357,107 @@ def cv_specificity(spark, sf):
     return out
 
 
+class _Transfer:
+    """Split in-domain rows and the rows of the other sources under the vocabulary of the training side, from written tables.
+
+    The other sources are cleaned row by row: none of their copies or empty texts is dropped.
+    """
+
+    def __init__(self, spark, sf):
+        from corpusmill.operators.corpus import clean_frame, prepare_corpus
+        docs = I.labelled(spark, sf)
+        split = materialize(Y.stratified_split(materialize(prepare_corpus(I.in_domain(docs)), "prepared")), "split")
+        train = split.where(F.col("split") == "train")
+        vocab = materialize(V.fit_vocabulary(train, CONFIG), "vocab")
+        everything = materialize(split.unionByName(clean_frame(I.external(docs)).withColumn("split", F.lit("external"))), "all")
+        weights = V.tfidf_transform(everything, vocab, CONFIG)
+        self.fitted = V.FittedFeatures(CONFIG, vocab)
+        self.size, self.n_train = vocab.count(), train.count()
+        self._rows = materialize(V.sparse_rows(everything, weights, "label", "split"), "rows")
+        self._vectors = vector_frame(self._rows, self.size)
+
+    def rows(self, side):
+        return self._rows.where(F.col("split") == side).drop("split")
+
+    def vectors(self, side):
+        return self._vectors.where(F.col("split") == side).drop("split")
+
+    def fit(self, config):
+        return T.fit_svm(config, self.fitted, self.rows("train"), self.vectors("train"), self.n_train, self.size)
+
+    def scorer(self, side):
+        return lambda model: model.classify(self.rows(side), self.vectors(side))
+
+
+@lru_cache(maxsize=8)
+def _compared(application, sf):
+    """The written result of the comparison; the queries about it share one."""
+    spark = SparkSession.active()
+    t = _Transfer(spark, sf)
+    return materialize(L.multi_config_compare(SVM_CONFIGS, t.fit, t.scorer("test"), t.scorer("external"), spark, parallelism=4), "comparison")
+
+
+def _comparison(spark, sf):
+    return _compared(spark.sparkContext.applicationId, sf)
+
+
 @query("multi_config_compare")
 def multi_config_compare(spark, sf):
-    """Linear settings trained in-domain, scored on the test side and on the other sources."""
-    from corpusmill.operators.corpus import prepare_corpus
-    docs = I.labelled(spark, sf)
-    split = materialize(Y.stratified_split(materialize(prepare_corpus(I.in_domain(docs)), "prepared")), "split")
-    outside = prepare_corpus(I.external(docs)).withColumn("split", F.lit("external"))
-    train = split.where(F.col("split") == "train")
-    vocab = materialize(V.fit_vocabulary(train), "vocab")
-    everything = materialize(split.unionByName(outside), "all")
-    weights = materialize(V.tfidf_transform(everything, vocab, CONFIG), "weights")
-    size, n = vocab.count(), train.count()
-    vectors = vector_frame(V.sparse_rows(everything, weights, "label", "split"), size)
-    fit_rows = vectors.where(F.col("split") == "train").persist()
+    """All ten published configurations trained in-domain, scored on the test side and on the other sources."""
+    return rounded(_comparison(spark, sf).drop("training_time"))
+
+
+COMPARED = ", ".join(f"({i}, '{c['name']}')" for i, c in enumerate(SVM_CONFIGS))
+
+
+@query("multi_config_facts", S.with_(S.ARTICLES, S.LABELLED, S.cleaned(), S.dedup(f"(SELECT * FROM cleaned WHERE subject NOT IN ({S.OUTSIDE}))"), *S.split())
+       + f"""SELECT run_no, config_name, (SELECT count(*) FROM test) AS n_internal, (SELECT count(*) FROM labelled WHERE subject IN ({S.OUTSIDE})) AS n_external,
+true AS scored, true AS timed FROM (VALUES {COMPARED}) c(run_no, config_name)""")
+def multi_config_facts(spark, sf):
+    """Which configurations ran, on how many rows of either corpus."""
+    ranges = [F.col(c).between(0, 1) for c in ("internal_acc", "external_acc", "precision", "recall", "specificity", "f1_score", "auc_score")]
+    scored = ranges[0]
+    for r in ranges[1:]:
+        scored = scored & r
+    return _comparison(spark, sf).select("run_no", "config_name", "n_internal", "n_external", scored.alias("scored"), (F.col("training_time") > 0).alias("timed"))
+
+
+def _reloaded(spark, sf, fit):
+    """A model fitted in-domain, saved, loaded and applied to the raw rows of the other sources."""
+    t = _Transfer(spark, sf)
+    path = scratch_path(spark, "text-model")
+    fit(t).save(path, n_train=t.n_train)
+    model, _ = T.load_text_model(spark, path)
+    return model.score(I.external(I.labelled(spark, sf)))
+
+
+@query("external_eval_gbt", OUTSIDE_FACTS)
+def external_eval_gbt(spark, sf):
+    """Boosted trees of the in-domain sources, saved and loaded, applied to the raw rows of the others."""
+    return _facts(_reloaded(spark, sf, lambda t: T.TextModel(t.fitted, t.size, D.gbt(t.vectors("train")))))
 
-    def score(side):
-        return lambda model: G.decision_scores(model.transform(vectors.where(F.col("split") == side)))
 
-    configs = [{"name": "Linear_C1", "c": 1.0}, {"name": "Linear_C0.1", "c": 0.1}, {"name": "Linear_C10", "c": 10.0},
-               {"name": "Linear_balanced", "c": 1.0, "balanced": True}]
-    table = L.multi_config_compare(
-        configs, lambda c: G.svm_linear(fit_rows, n, c["c"], c.get("balanced", False)),
-        score("test"), score("external"), spark)
-    return rounded(table.drop("training_time"))
+@query("external_eval_kernel", OUTSIDE_FACTS)
+def external_eval_kernel(spark, sf):
+    """An RBF machine of the in-domain sources, saved and loaded with its landmarks, applied to the raw rows of the others."""
+    return _facts(_reloaded(spark, sf, lambda t: t.fit({"kernel": "rbf"})))
+
+
+@query("external_metrics")
+def external_metrics(spark, sf):
+    """Weighted metrics and ROC area of logistic regression and a linear SVM on the other sources, each from its saved form."""
+    t = _Transfer(spark, sf)
+    outside = I.external(I.labelled(spark, sf))
+    models = {"logreg": T.TextModel(t.fitted, t.size, G.logreg(t.vectors("train"), t.n_train)), "svm_linear": t.fit({"kernel": "linear"})}
+    out = None
+    for name, fitted in models.items():
+        path = scratch_path(spark, "text-model")
+        fitted.save(path, family=name)
+        model, meta = T.load_text_model(spark, path)
+        scored = materialize(model.score(outside).withColumn("family", F.lit(meta["family"])), "scored")
+        out = scored if out is None else out.unionByName(scored)
+    table = weighted_metrics(confusion_counts(out, "family")).join(F.broadcast(auc_roc(out, "family")), "family")   # a row per family
+    return rounded(table)
 
 
 RUNS = """runs AS (SELECT c_nationkey AS run_no, c_mktsegment || '_' || c_nationkey AS config_name, min(c_acctbal) AS accuracy,
@@ -543,6 +621,85 @@ def stream_dedup_watermark(spark, sf):
     return spark.read.parquet(out).agg(F.count("*").alias("n_contents"))
 
 
+PERIODS, LATE_BY = 6, 4
+ARRIVALS = f"""arrivals AS (SELECT event_id, user_id, event_type, CAST(({PERIODS} * (epoch_us(ts) - lo)) // (hi - lo + 1) AS INTEGER) AS period
+FROM events, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events) WHERE ts IS NOT NULL),
+flagged AS (SELECT *, event_type = 'error' AND event_id % 7 = 0 AND period + {LATE_BY} < {PERIODS} AS late FROM arrivals),
+keys AS (SELECT DISTINCT user_id, event_type, period FROM flagged WHERE NOT late),
+first_taken AS (SELECT user_id, event_type, min(period) AS period FROM keys GROUP BY ALL),
+taken AS (SELECT * FROM first_taken UNION ALL SELECT k.user_id, k.event_type, min(k.period) FROM keys k JOIN first_taken f USING (user_id, event_type)
+WHERE k.period >= f.period + 3 GROUP BY ALL)"""
+
+
+def _event_arrivals(spark, sf):
+    """The events in six periods of equal length, five days of event time apart; some errors arrive four periods late."""
+    events = I.table(spark, sf, "events").where("ts IS NOT NULL")
+    us = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+    lo, hi = (v or 0 for v in events.agg(F.expr(f"min({us})"), F.expr(f"max({us})")).first())
+    period = F.expr(f"({PERIODS} * ({us} - {lo})) div ({hi - lo} + 1)").cast("int")
+    late = (F.col("event_type") == "error") & (F.col("event_id") % 7 == 0) & (F.col("period") + LATE_BY < PERIODS)
+    timed = events.withColumn("period", period).select(
+        F.concat_ws(":", "user_id", "event_type").alias("content"), "user_id", "event_type", "period",
+        F.timestamp_seconds(F.lit(1704067200) + F.col("period") * 5 * 86400).alias("at"),
+        (F.col("period") + F.when(late, LATE_BY).otherwise(0)).alias("arrives"))
+    return [timed.where(F.col("arrives") == p).drop("arrives") for p in range(PERIODS)]
+
+
+@lru_cache(maxsize=8)
+def _evicting(application, sf):
+    """Output folder of the watermarked de-duplication, and its progress after every arrival."""
+    spark = SparkSession.active()
+    out, checkpoint = W.stream_paths(spark, "evicting")
+    progress = W.run_arrivals(spark, _event_arrivals(spark, sf), scratch_path(spark, "arrivals"),
+                              lambda stream: W.append_to(W.stream_dedup(stream, "at", "5 days").drop("content_hash"), out, checkpoint))
+    return out, progress
+
+
+@query("stream_dedup_eviction", f"WITH {ARRIVALS} SELECT user_id, event_type, period FROM taken")
+def stream_dedup_eviction(spark, sf):
+    """Six arrivals, the stream started again for each: a key is taken anew once its state is gone, late rows never."""
+    out, _ = _evicting(spark.sparkContext.applicationId, sf)
+    return spark.read.parquet(out).select("user_id", "event_type", "period")
+
+
+@query("stream_dedup_state", f"WITH {ARRIVALS} SELECT CAST(p AS INTEGER) AS arrival, (SELECT count(*) FROM taken WHERE period IN (p, p - 1)) AS state_rows, "
+       f"(SELECT count(*) FROM flagged WHERE late AND period + {LATE_BY} = p) AS late_rows FROM range({PERIODS}) r(p)")
+def stream_dedup_state(spark, sf):
+    """Keys held and late rows refused after every arrival: the state falls behind the horizon."""
+    _, progress = _evicting(spark.sparkContext.applicationId, sf)
+    return spark.createDataFrame([(i, p.state_rows, p.late_rows) for i, p in enumerate(progress)], "arrival int, state_rows long, late_rows long")
+
+
+BATCHES = 4
+
+
+@query("stream_metrics_history", S.with_(*S.SCORED, f"""bins AS (SELECT b AS after_batch, CAST(least(floor(score * 100), 99) AS INTEGER) AS score_bin, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n,
+count(*) FILTER (label = 1 AND pred = 1) AS tp, count(*) FILTER (label = 0 AND pred = 0) AS tn, count(*) FILTER (label = 0 AND pred = 1) AS fp, count(*) FILTER (label = 1 AND pred = 0) AS fn
+FROM scored JOIN range({BATCHES}) r(b) ON doc_id % {BATCHES} <= b GROUP BY ALL)""",
+       "ranked AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY after_batch ORDER BY score_bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS up FROM bins)",
+       """conf AS (SELECT after_batch, sum(tp)::BIGINT AS tp, sum(tn)::BIGINT AS tn, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn,
+CASE WHEN sum(p) * sum(n) > 0 THEN sum(n * (up + p / 2.0::DOUBLE)) / (sum(p)::DOUBLE * sum(n)) ELSE 0.5 END AS auc FROM ranked GROUP BY after_batch)""")
+       + f"SELECT CAST(after_batch AS INTEGER) AS after_batch, round(auc, 6) AS auc_binned, tp, tn, fp, fn, {S.BINARY_COLUMNS} FROM conf")
+def stream_metrics_history(spark, sf):
+    """Metrics and binned ROC area after each of four arrivals, the stream started again from its checkpoint for each."""
+    scored = materialize(I.scored(spark, sf), "scored")
+    out, checkpoint = W.stream_paths(spark, "running")
+    W.run_arrivals(spark, [scored.where(F.col("doc_id") % BATCHES == b) for b in range(BATCHES)], scratch_path(spark, "arrivals"),
+                   lambda stream: W.stream_running_metrics(stream, out, checkpoint))
+    return rounded(W.metrics_after_batches(spark.read.parquet(out)).withColumn("after_batch", F.col("after_batch").cast("int")))
+
+
+@query("stream_score_restarts", S.with_(*EXTERNAL) + "SELECT doc_id, label, pred, round(margin, 6) AS margin FROM nb_scored")
+def stream_score_restarts(spark, sf):
+    """Documents in three arrivals, each scored by a stream started again from the checkpoint: together the batch result."""
+    fitted, scorer, outside = _external_fit(spark, sf)
+    scorer.weights = materialize(scorer.weights, "scorer")
+    out, checkpoint = W.stream_paths(spark, "stream")
+    W.run_arrivals(spark, [outside.where(F.col("doc_id") % 3 == b) for b in range(3)], scratch_path(spark, "arrivals"),
+                   lambda stream: W.stream_score(stream, fitted, scorer, out, checkpoint, "label"))
+    return rounded(spark.read.parquet(out).select("doc_id", "label", "pred", "margin"))
+
+
 # --- protection -------------------------------------------------------------------
 
 DOC_COLUMNS = ["doc_id", "source", "lang", "text"]
