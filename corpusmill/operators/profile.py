@@ -137,12 +137,13 @@ def top_tokens_per_class(docs: DataFrame, k: int = 20, config: FeatureConfig | N
     return rank_terms(class_mean_weights(docs, config)).where(F.col("rank") <= k)
 
 
-def corpus_stats(split: DataFrame, vocab: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """One row per side: sizes, feature counts, class counts."""
+def corpus_stats(split: DataFrame, vocab: DataFrame, config: FeatureConfig = FeatureConfig(), subjects: DataFrame | None = None) -> DataFrame:
+    """One row per side: sizes, feature counts (of the texts and with the one-hot block), class counts."""
     n_text = row_count(vocab)
+    n_total = n_text + F.lit(0 if subjects is None else subjects.count()).cast("long")
     return split.groupBy("split").agg(
         F.count("*").alias("n_samples"),
         F.count(F.when(F.col("label") == 0, 1)).alias("fake_0"),
         F.count(F.when(F.col("label") == 1, 1)).alias("real_1"),
-    ).select("*", n_text.alias("n_features_text"), F.lit(config.include_subject).alias("include_subject"),
+    ).select("*", n_text.alias("n_features_text"), n_total.alias("n_features_total"), F.lit(config.include_subject).alias("include_subject"),
              F.lit(config.produce_scaled).alias("scaled"))

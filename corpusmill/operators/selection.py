@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusmill.operators.curves import auc_roc
 from corpusmill.operators.linear import DescentRun, descend
 from corpusmill.operators.metrics import binary_metrics, confusion_counts, weighted_metrics
-from corpusmill.operators.naive_bayes import KINDS, cv_scores, with_prediction
+from corpusmill.operators.naive_bayes import KINDS, absent_weight, class_prior, class_sizes, cv_scores, label_term_sums, term_weight, with_prediction
+from corpusmill.operators.tfidf import sparse_rows
 from corpusmill.session import materialize
 
 CV_METRICS = ("accuracy", "precision", "sensitivity", "specificity", "f1", "auc")
@@ -232,62 +233,109 @@ def cv_grid_gbt(vectors: DataFrame, grid: dict, k: int = 5, seed: int = 42, para
     return tuned.table.drop("setting")
 
 
+def _samples(k: int, parts: int, fold: Column, part: Column) -> Column:
+    """The samples (held, size) that rows of a fold and a part belong to: other folds held out, sizes from the part on."""
+    return F.array(*[F.struct(F.lit(f).alias("held"), F.lit(i).alias("size"), ((fold != f) & (part <= i)).alias("inside"))
+                     for f, i in product(range(k), range(1, parts + 1))])
+
+
+MEASURES = ("f0", "f1", "d0", "d1")
+
+
+def _sample_sums(k: int, parts: int):
+    """Sums of every term over every sample, from its sums by fold and part."""
+    def run(batches):
+        others = 1.0 - np.eye(k)
+        for batch in batches:
+            column = batch.column("_c")
+            term = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+            cell = column.flatten()
+            fold, part = (cell.field(c).to_numpy(zero_copy_only=False).astype(int) for c in ("fold", "part"))
+            out = []
+            for name in MEASURES:
+                dense = np.zeros((batch.num_rows, k, parts))
+                dense[term, fold, part - 1] = cell.field(name).to_numpy(zero_copy_only=False)
+                # Added up fold by fold, not taken from a total: zeros stay exact zeros.
+                held = np.einsum("hf,tfp->thp", others, np.cumsum(dense, axis=2)).ravel()
+                out.append(pa.array(held if name[0] == "f" else np.rint(held).astype(np.int64)))
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(batch.column("term_idx").to_numpy(), k * parts)), pa.array(np.tile(np.repeat(np.arange(k, dtype=np.int32), parts), n)),
+                pa.array(np.tile(np.arange(1, parts + 1, dtype=np.int32), n * k)), *out], ["term_idx", "held", "size", *MEASURES])
+    return run
+
+
 def learning_curve_nb(docs: DataFrame, weights: DataFrame, vocab: DataFrame, kind: str, alpha: float,
                       parts: int = 10, k: int = 5, max_features: int = 20000) -> DataFrame:
     """Train and cross-validation accuracy against the training size.
 
     ``docs`` and ``weights`` carry ``fold`` and ``part``; the sample of size i
-    is part <= i of the other folds. All sizes and folds are columns of one
-    aggregation by term, and every posting is scored once for all of them.
+    is part <= i of the other folds. Postings are summed once by (term, fold,
+    part); the samples are sums over that small table. All k * parts models
+    score a document in one scan, as one matrix that the vocabulary cap bounds.
     """
-    from corpusmill.operators.naive_bayes import absent_weight, class_prior, term_weight
-    from corpusmill.session import broadcast_bounded, materialize
-    cells, sizes = [], []
     grid = list(product(range(k), range(1, parts + 1)))
-
-    def inside(f, i):
-        return (F.col("fold") != f) & (F.col("part") <= i)
-
-    for f, i in grid:
-        key = [F.lit(f).alias("held"), F.lit(i).alias("size")]
-        cells.append(F.struct(*key, *[
-            x for c in (0, 1) for x in (
-                F.coalesce(F.sum(F.when(inside(f, i) & (F.col("label") == c), F.col("weight"))), F.lit(0.0)).alias(f"f{c}"),
-                F.count(F.when(inside(f, i) & (F.col("label") == c) & (F.col("weight") > 0), 1)).alias(f"d{c}"))]))
-        sizes.append(F.struct(*key, *[
-            F.count(F.when(inside(f, i) & (F.col("label") == c), 1)).alias(f"n{c}") for c in (0, 1)]))
-    # Written: the totals, the biases and the weights all come from it.
-    sums = materialize(weights.groupBy("term_idx").agg(F.array(*cells).alias("_c")).select("term_idx", F.inline("_c")), "curve-sums")
-    n = docs.agg(F.array(*sizes).alias("_s")).select(F.inline("_s"))
+    cells = label_term_sums(weights, "fold", "part")
+    # At most folds x parts cells a term. A term absent from a sample keeps a row of zeros there.
+    per_term = cells.groupBy("term_idx").agg(F.collect_list(F.struct("fold", "part", *MEASURES)).alias("_c"))
+    sums = materialize(per_term.mapInArrow(_sample_sums(k, parts), "term_idx int, held int, size int, f0 double, f1 double, d0 long, d1 long"), "curve-sums")
+    n = (class_sizes(docs, "fold", "part").withColumn("_s", F.explode(_samples(k, parts, F.col("fold"), F.col("part"))))
+         .groupBy("_s.held", "_s.size").agg(*[F.sum(F.when(F.col("_s.inside"), F.col(c)).otherwise(0)).alias(c) for c in ("n0", "n1")]))
     totals = sums.groupBy("held", "size").agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count("*").alias("v"))
-    constants = F.broadcast(n.join(totals, ["held", "size"]))  # k * parts rows
-    full = sums.join(constants, ["held", "size"])
+    full = sums.join(F.broadcast(n.join(totals, ["held", "size"])), ["held", "size"])     # k * parts rows
     absent = F.sum(absent_weight(alpha)) if kind == "BNB" else F.lit(0.0)
     bias = full.groupBy("held", "size").agg(absent.alias("_a"), F.first("n0").alias("n0"), F.first("n1").alias("n1"))
-    bias = bias.select("held", "size", (F.col("_a") + class_prior(kind)).alias("b"))
-    # One row per term: the weights of all k * parts models in grid order.
-    table = full.select("term_idx", F.struct("held", "size", term_weight(kind, alpha).alias("w")).alias("_w")) \
-        .groupBy("term_idx").agg(F.sort_array(F.collect_list("_w")).alias("_w")) \
-        .select("term_idx", *[F.col("_w")[j]["w"].alias(f"w{j}") for j in range(len(grid))])
-    side = broadcast_bounded(table, max_features, 8 * (len(grid) + 2))
-    x = F.lit(1.0) if kind == "BNB" else F.col("weight")
-    dots = weights.join(side, "term_idx").groupBy("doc_id").agg(*[
-        F.sum(x * F.col(f"w{j}")).alias(f"s{j}") for j in range(len(grid))])
-    shift = {(r["held"], r["size"]): r["b"] for r in bias.collect()}  # k * parts numbers
-    shares = []
-    for j, (f, i) in enumerate(grid):
-        b = shift.get((f, i))
-        hit = ((F.coalesce(f"s{j}", F.lit(0.0)) + F.lit(b if b is not None else float("nan")) > 0).cast("int") == F.col("label")).cast("double")
-        shares.append(F.struct(F.lit(f).alias("held"), F.lit(i).alias("size"), F.avg(F.when(inside(f, i), hit)).alias("train"),
-                               F.avg(F.when(F.col("fold") == f, hit)).alias("test")))
-    # Shares of hits are conditional means of one pass: a document stays one row.
-    per_fold = (docs.select("doc_id", "label", "fold", "part").join(dots, "doc_id", "left")
-                .agg(F.array(*shares).alias("_p")).select(F.inline("_p")))
-    return per_fold.groupBy("size").agg(
+    shift = {(r.held, r.size_): r.b for r in bias.select("held", F.col("size").alias("size_"), (F.col("_a") + class_prior(kind)).alias("b")).collect()}
+    models = full.select("term_idx", F.struct("held", "size", term_weight(kind, alpha).alias("w")).alias("_w")).groupBy("term_idx").agg(
+        F.sort_array(F.collect_list("_w")).alias("_w")).select("term_idx", F.col("_w.w").alias("w"))
+    table = models.collect()                                                            # the vocabulary cap bounds it
+    width = max((r.term_idx for r in table), default=-1) + 1
+    matrix = np.zeros((width, len(grid)))
+    for r in table:
+        matrix[r.term_idx] = [0.0 if w is None else w for w in r.w]
+    bias_row = np.array([np.nan if shift.get(cell) is None else shift[cell] for cell in grid])
+    rows = sparse_rows(docs, weights, "label", "fold", "part")
+    hits = rows.mapInArrow(_curve_hits(rows.sparkSession.sparkContext.broadcast((matrix, bias_row)), grid, kind == "BNB"),
+                           "held int, size int, train_hits long, train_n long, test_hits long, test_n long")
+    shares = hits.groupBy("held", "size").agg(F.try_divide(F.sum("train_hits"), F.sum("train_n")).alias("train"),
+                                              F.try_divide(F.sum("test_hits"), F.sum("test_n")).alias("test"))
+    return shares.groupBy("size").agg(
         F.avg("train").alias("train_mean"), F.stddev_pop("train").alias("train_std"),
         F.avg("test").alias("cv_mean"), F.stddev_pop("test").alias("cv_std"))
 
 
+CURVE_VALUES = 16_384     # values of sparse rows multiplied at once
+
+
+def _curve_hits(shared, grid, presence):
+    """Hits and rows of every sample, and of its held-out fold, added up per batch."""
+    def run(batches):
+        matrix, bias = shared.value
+        held, size = np.array(grid).T
+        for batch in batches:
+            idx, val = batch.column("idx"), batch.column("val")
+            label, fold, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold", "part"))
+            cols, x = idx.flatten().to_numpy(), val.flatten().to_numpy()
+            x = np.ones_like(x) if presence else x
+            lengths = np.diff(idx.offsets.to_numpy())
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            z = np.zeros((batch.num_rows, len(grid)))
+            start = 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CURVE_VALUES, side="right")) - 1)
+                piece = slice(ends[start], ends[stop])
+                product_ = np.append(x[piece, None] * matrix[cols[piece]], np.zeros((1, len(grid))), axis=0)
+                z[start:stop] = np.add.reduceat(product_, ends[start:stop] - ends[start], axis=0) * (lengths[start:stop, None] > 0)
+                start = stop
+            hit = ~(z + bias <= 0) == (label[:, None] == 1)     # an undefined score counts as positive
+            train = (fold[:, None] != held) & (part[:, None] <= size)
+            test = fold[:, None] == held
+            counts = [(hit & train).sum(axis=0), train.sum(axis=0), (hit & test).sum(axis=0), test.sum(axis=0)]
+            yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(size.astype(np.int32)), *[pa.array(c.astype(np.int64)) for c in counts]],
+                                             ["held", "size", "train_hits", "train_n", "test_hits", "test_n"])
+    return run
+
+
 def multi_config_compare(configs: list[dict], fit, score_internal, score_external, spark, parallelism: int = 1) -> DataFrame:
     """Train and time every named configuration, then score both corpora; ``parallelism`` configurations at a time.
 

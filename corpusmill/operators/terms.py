@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusmill.config import FeatureConfig
 from corpusmill.functions.text import ngrams, remove_stopwords, tokenize
@@ -51,9 +51,24 @@ def term_stats(posts: DataFrame) -> DataFrame:
         F.sum("tf").cast("long").alias("cf"), F.count("*").alias("df"))
 
 
+def count_step(count: Column) -> Column:
+    """A step of a scale that rises with ``count``: exact below 4,096, 12 leading bits above, so under 220,000 steps in all."""
+    shift = F.greatest(F.length(F.bin(count)) - 12, F.lit(0))
+    return shift.cast("long") * 4096 + F.call_function("shiftright", count, shift)
+
+
 def top_terms(stats: DataFrame, limit: int) -> DataFrame:
-    """The most frequent terms, ties by name; at most ``limit`` rows."""
-    return stats.orderBy(F.desc("cf"), "term").limit(limit)
+    """The most frequent terms, ties by name; at most ``limit`` rows.
+
+    Terms are counted by steps of their count first. Only those from the step
+    that holds the cut-off upwards are ordered, so no task gets more rows than
+    ``limit`` and that one step.
+    """
+    per_step = stats.groupBy(count_step(F.col("cf")).alias("step")).agg(F.count("*").alias("n"))
+    # The scale bounds the rows of this single-partition sum.
+    reached = per_step.select("step", F.sum("n").over(Window.orderBy(F.desc("step"))).alias("reached"))
+    cut = reached.where(F.col("reached") >= limit).agg(F.coalesce(F.max("step"), F.lit(-1))).scalar()
+    return stats.where(count_step(F.col("cf")) >= cut).orderBy(F.desc("cf"), "term").limit(limit)
 
 
 def ngram_growth(docs: DataFrame, config: FeatureConfig = FeatureConfig(),

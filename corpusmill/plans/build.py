@@ -83,5 +83,5 @@ def build_features(raw: DataFrame, path: str, config: FeatureConfig = FeatureCon
         scale = spark.read.parquet(f"{path}/scale")
         scaled = apply_scale(stored, scale, config.max_features)
         write_features(sparse_rows(docs, scaled, "label", "split"), f"{path}/features", scaled=True)
-    write_run_metadata(spark, f"{path}/metadata", config, corpus_stats(docs, vocab, config))
+    write_run_metadata(spark, f"{path}/metadata", config, corpus_stats(docs, vocab, config, built.fitted().subjects))
     return built

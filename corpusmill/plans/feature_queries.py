@@ -187,7 +187,7 @@ def term_sums(spark, sf):
 
 
 STATS_SQL = """SELECT split, count(*) AS n_samples, count(*) FILTER (label = 0) AS fake_0, count(*) FILTER (label = 1) AS real_1,
-(SELECT count(*) FROM vocab) AS n_features_text, false AS include_subject, true AS scaled FROM split GROUP BY split"""
+(SELECT count(*) FROM vocab) AS n_features_text, (SELECT count(*) FROM vocab) AS n_features_total, false AS include_subject, true AS scaled FROM split GROUP BY split"""
 
 
 @query("corpus_stats", S.with_(*S.TRAIN_FEATURES) + STATS_SQL)
