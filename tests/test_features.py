@@ -169,3 +169,14 @@ def test_histogram_lists_empty_bins(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (10.0,), (None,)], "v double")
     assert [r.n for r in histogram(df, "v", 5).orderBy("bin").collect()] == [2, 0, 0, 0, 1]
     assert histogram(df.where("v < 0"), "v", 5).count() == 0
+
+
+def test_vocabulary_cut_by_steps(spark):
+    from corpusmill.operators.terms import count_step, top_terms
+    stats = spark.range(1, 30000).select(F.col("id").cast("string").alias("term"), (F.col("id") * F.col("id") % 9973 * 7).alias("cf"))
+    plain = lambda n: [tuple(r) for r in stats.orderBy(F.desc("cf"), "term").limit(n).collect()]
+    assert all([tuple(r) for r in top_terms(stats, n).collect()] == plain(n) for n in (1, 7, 500, 40000))
+    assert top_terms(stats.limit(0), 5).count() == 0
+    counts = list(range(1, 9000)) + [2 ** k + d for k in range(14, 62) for d in (-1, 0, 1)]
+    steps = [r.s for r in spark.createDataFrame([(c,) for c in counts], "cf long").select("cf", count_step(F.col("cf")).alias("s")).orderBy("cf").collect()]
+    assert steps == sorted(steps) and steps[-1] < 220000
