@@ -16,6 +16,7 @@ from corpusmill.llm.common import broadcast_measured, map_rows, materialize, utf
 SPAN = 50                  # words of a window
 PREFIX = 16                # words of the short prefix by which suffixes are first dealt
 OFFSETS = SPAN - PREFIX + 1
+LENGTHS = (24, 32, 40)     # words that a crowded prefix is lengthened to, until its subtree fits; the last step is the window
 CROWDED = 8192             # suffixes of a prefix that one subtree may hold (some 100 MB); beyond, the prefix is lengthened
 BUNDLE = 4096              # suffixes whose subtrees are built at once in a task
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)   # odd multipliers of the rolling sums
@@ -105,8 +106,8 @@ def _emit_anchors(batch: pa.RecordBatch) -> dict:
 
 
 def _emit_suffixes(batch: pa.RecordBatch) -> dict:
-    """Per anchor with a repeated prefix its words; per distinct window under a crowded prefix the longer prefix."""
-    out = {n: [] for n in ("doc_id", "key", "prefix", "first", "last", "words", "long1", "long2", "starts")}
+    """Per anchor with a repeated prefix its words; per distinct window under a crowded prefix its longer prefixes."""
+    out = {n: [] for n in ("doc_id", "key", "prefix", "first", "last", "words", "steps", "long1", "long2", "starts")}
 
     def add(*row) -> None:
         for column, value in zip(out.values(), row):
@@ -123,78 +124,122 @@ def _emit_suffixes(batch: pa.RecordBatch) -> dict:
                 if s["crowded"]:
                     crowded.append(np.arange(first, last + 1))
                 else:
-                    add(doc_id, key, s["prefix"], first, last, text[starts[first]:stops[last + SPAN - 1]], None, None, None)
+                    add(doc_id, key, s["prefix"], first, last, text[starts[first]:stops[last + SPAN - 1]], None, None, None, None)
         if crowded:
             each = np.unique(np.concatenate(crowded))
-            long1, long2 = (_sums(_word_hashes(text, starts, stops, b), each, each + SPAN, 1 - b).view(np.int64) for b in (0, 1))
+            hashes = [_word_hashes(text, starts, stops, b) for b in (0, 1)]
+            long1, long2 = (_sums(hashes[b], each, each + SPAN, 1 - b).view(np.int64) for b in (0, 1))
+            steps = np.stack([_sums(hashes[0], each, each + n, 1).view(np.int64) for n in LENGTHS], axis=1)
             order = np.lexsort((each, long2, long1))
             cuts = np.flatnonzero((np.diff(long1[order]) != 0) | (np.diff(long2[order]) != 0)) + 1
             for same in np.split(order, cuts):
-                add(doc_id, key, None, None, None, None, int(long1[same[0]]), int(long2[same[0]]), each[same].tolist())
+                add(doc_id, key, None, None, None, None, steps[same[0]].tolist(), int(long1[same[0]]), int(long2[same[0]]), each[same].tolist())
     return out
 
 
-def repeated_windows(ids: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, words: list[bytes]) -> list[tuple[int, int, int]]:
-    """(row, from, to): word ranges of a row covered by windows that also occur under a smaller id.
+def _emit_lengthened(batch: pa.RecordBatch) -> dict:
+    """The words of each window whose lengthened prefix has a group that fits."""
+    out = {n: [] for n in ("doc_id", "key", "prefix", "first", "last", "words", "starts")}
+    for doc_id, key, text, wanted in zip(*(batch.column(i).to_pylist() for i in (0, 1)), utf8(batch.column(2)), batch.column(3).to_pylist()):
+        starts, stops = word_bounds(text)
+        for w in wanted:
+            first = w["starts"][0]
+            for column, value in zip(out.values(), (doc_id, key, w["prefix"], first, first, text[starts[first]:stops[first + SPAN - 1]], w["starts"])):
+                column.append(value)
+    return out
+
 
-    The rows are whole prefix groups. Their subtrees are built level by level:
-    nodes at depth 2, 4, ... 32 are named by the pair of their halves' names,
-    nodes at depth ``SPAN`` by two overlapping halves. Windows with one name
-    are the suffixes below one node of that depth, a repeat of at least that
-    many words; the smallest id below the node keeps its copy.
+def suffix_array(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(places of the first words, ranks): ranks[k] orders all places by their next 2**k words.
+
+    Every entry ends in a mark of its own, so no two suffixes are equal beyond
+    the end of an entry and the last ranks order whole suffixes.
     """
     tokens = [w.split() for w in words]
     sizes = np.array([len(t) for t in tokens])
-    names = pd.factorize(np.array([w for t in tokens for w in t], dtype=object))[0].astype(np.int64)
-
-    def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return pd.factorize(left * (int(names.max()) + 1) + right)[0].astype(np.int64)
-
-    depth = 1
-    while depth * 2 <= SPAN:
-        # The ends of the table have no right half; no window starts there.
-        names = np.append(pair(names[:-depth], names[depth:]), np.zeros(depth, np.int64))
-        depth *= 2
-    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    codes = pd.factorize(np.array([w for t in tokens for w in t], dtype=object))[0].astype(np.int64)
+    ends = np.cumsum(sizes + 1) - 1
+    rank = np.empty(len(codes) + len(words), np.int64)
+    word = np.ones(len(rank), bool)
+    word[ends] = False
+    rank[word], rank[ends] = codes, codes.max(initial=-1) + 1 + np.arange(len(words))
+    ranks = [rank]
+    while (depth := 1 << (len(ranks) - 1)) < sizes.max(initial=0):
+        right = np.concatenate((ranks[-1][depth:] + 1, np.zeros(min(depth, len(rank)), np.int64)))[:len(rank)]
+        ranks.append(np.unique(ranks[-1] * (len(rank) + 1) + right, return_inverse=True)[1])
+    return ends - sizes, ranks
+
+
+def common_words(ranks: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at each pair of places."""
+    at, to = left.copy(), right.copy()
+    for k in range(len(ranks) - 1, -1, -1):
+        step = (ranks[k][at] == ranks[k][to]).astype(np.int64) << k
+        at += step
+        to += step
+    return at - left
+
+
+def deep_repeats(ids: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, words: list[bytes], earlier: bool) -> list[tuple[int, int, int]]:
+    """(row, from, to): the maximal word ranges of a row that lie below a deep node.
+
+    The rows are whole prefix groups, their leaves the suffixes from each
+    window's first word. A node at depth d is a run of leaves, in suffix order,
+    with d words in common. Per leaf the deepest node of ``SPAN`` words and more
+    counts that holds a smaller id (``earlier``) or any other id; a range inside
+    the one of the leaf before is not maximal and left out.
+    """
+    places, ranks = suffix_array(words)
     counts = lasts - firsts + 1
     row = np.repeat(np.arange(len(ids)), counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = offsets[row] + within
-    node = pair(names[start], names[start + SPAN - depth])
-    smallest = np.full(node.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(smallest, node, ids[row])
-    hit = np.flatnonzero(ids[row] > smallest[node])
-    if not len(hit):
-        return []
-    cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(row[hit]) != 0))
-    begin, end = hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)]
-    return list(zip(row[begin].tolist(), (firsts[row[begin]] + within[begin]).tolist(),
-                    (firsts[row[end]] + within[end] + SPAN).tolist()))
-
-
-def _emit_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    start = places[row] + within
+    leaf = np.argsort(ranks[-1][start], kind="stable")
+    shared = np.concatenate(([0], common_words(ranks, start[leaf[:-1]], start[leaf[1:]])))
+    deepest = np.zeros(len(row), np.int64)
+    for depth in range(SPAN, int(shared.max()) + 1):
+        opens = shared < depth
+        opens[:1] = True
+        node, id_of, begin = np.cumsum(opens) - 1, ids[row[leaf]], np.flatnonzero(opens)
+        least, most = np.minimum.reduceat(id_of, begin), np.maximum.reduceat(id_of, begin)
+        deepest[leaf[id_of > least[node] if earlier else (least < most)[node]]] = depth
+        several = (least < most)[node]
+        leaf, shared = leaf[several], shared[several]
+        if not len(leaf):
+            break
+    reach = np.where(deepest > 0, within + deepest, 0)
+    before = np.concatenate(([0], np.where(row[1:] == row[:-1], reach[:-1], 0)))
+    top = np.flatnonzero(reach > before)
+    at = firsts[row[top]]
+    return list(zip(row[top].tolist(), (at + within[top]).tolist(), (at + reach[top]).tolist()))
+
+
+def _repeats_of(earlier: bool):
     """Batches come sorted by prefix; groups are gathered into bundles, never split."""
-    waiting = None
-    for batch in _with_end(batches):
-        part = None if batch is None else batch.to_pandas()
-        frame = part if waiting is None else waiting if part is None else pd.concat([waiting, part], ignore_index=True)
-        if frame is None or not len(frame):
-            continue
-        edges = np.flatnonzero(np.diff(frame["prefix"].to_numpy())) + 1
-        stop = len(frame) if batch is None else int(edges[-1]) if len(edges) else 0
-        begin = 0
-        for edge in [*edges[edges <= stop].tolist(), *([stop] if batch is None else [])]:
-            if edge - begin >= BUNDLE or edge == stop:
-                some = frame.iloc[begin:edge]
-                begin = edge
-                if len(some):
-                    found = repeated_windows(*(some[c].to_numpy(np.int64) for c in ("doc_id", "first", "last")), list(some["words"]))
-                    rows = [f[0] for f in found]
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array(some["doc_id"].to_numpy()[rows], pa.int64()),
-                        "key": pa.array(some["key"].to_numpy()[rows], pa.int64()),
-                        "from": pa.array([f[1] for f in found], pa.int64()), "to": pa.array([f[2] for f in found], pa.int64())})
-        waiting = frame.iloc[stop:].reset_index(drop=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in _with_end(batches):
+            part = None if batch is None else batch.to_pandas()
+            frame = part if waiting is None else waiting if part is None else pd.concat([waiting, part], ignore_index=True)
+            if frame is None or not len(frame):
+                continue
+            edges = np.flatnonzero(np.diff(frame["prefix"].to_numpy())) + 1
+            stop = len(frame) if batch is None else int(edges[-1]) if len(edges) else 0
+            begin = 0
+            for edge in [*edges[edges <= stop].tolist(), *([stop] if batch is None else [])]:
+                if edge - begin >= BUNDLE or edge == stop:
+                    some = frame.iloc[begin:edge]
+                    begin = edge
+                    if len(some):
+                        found = deep_repeats(*(some[c].to_numpy(np.int64) for c in ("doc_id", "first", "last")), list(some["words"]), earlier)
+                        rows = [f[0] for f in found]
+                        yield pa.RecordBatch.from_pydict({
+                            "doc_id": pa.array(some["doc_id"].to_numpy()[rows], pa.int64()),
+                            "key": pa.array(some["key"].to_numpy()[rows], pa.int64()),
+                            "from": pa.array([f[1] for f in found], pa.int64()), "to": pa.array([f[2] for f in found], pa.int64()),
+                            "starts": pa.array(some["starts"].to_numpy()[rows].tolist(), pa.list_(pa.int64()))})
+            waiting = frame.iloc[stop:].reset_index(drop=True)
+    return run
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -225,59 +270,136 @@ def _finish(batch: pa.RecordBatch) -> dict:
     return out
 
 
-def drop_repeated_spans(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept_text) per row; words under a repeated window are gone.
-
-    A window of ``SPAN`` words goes if a row with a smaller id has it too.
-
-    * Whole copies are found by digest; they need no tree.
-    * Only anchored suffixes (about one word in eighteen) are dealt by the
-      hash of their first ``PREFIX`` words, and only prefixes that occur under
-      two ids go on. A prefix with more than ``CROWDED`` suffixes is lengthened
-      to the whole window, where the node is its own group and one aggregate
-      finds its smallest id, so no group is ever larger than a task can hold.
-    * A task builds the subtrees of its groups; nodes ``SPAN`` deep with
-      several ids mark windows.
-
-    Hashes only deal and prune; windows of a subtree are compared word by
-    word, those under lengthened prefixes by 128 bits. Null texts have no
-    words. Rows with a null id neither lose words nor take them from others;
-    rows with the same id leave each other alone. Extra columns are ignored.
-    """
+def _with_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key, original, latest): smallest and greatest id of equal texts, null where a text occurs once."""
     rows = docs.select(F.col("doc_id").cast(LongType()).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.md5("text")).withColumn("key", F.xxhash64("text"))
     copies = materialize(rows.select("digest", "doc_id").groupBy("digest").agg(
-        F.min("doc_id").alias("original"), F.count("*").alias("n")).where("n > 1").drop("n"), "whole-copies")
-    rows = rows.join(broadcast_measured(copies, 64), "digest", "left").withColumn(
-        "copy", F.coalesce(F.col("doc_id") > F.col("original"), F.lit(False))).drop("digest", "original")
+        F.min("doc_id").alias("original"), F.max("doc_id").alias("latest"), F.count("*").alias("n")).where("n > 1").drop("n"), "whole-copies")
+    return rows.join(broadcast_measured(copies, 64), "digest", "left").drop("digest")
+
 
-    judged = rows.where("NOT copy AND doc_id IS NOT NULL").select("doc_id", "key", "text")
+def _lengthened_groups(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the windows under crowded prefixes: (windows with the prefix whose group fits, windows that are a group of their own).
+
+    Prefixes are lengthened step by step. Counts are per distinct window, which
+    is one row however many texts hold it, and windows of one id end here.
+    """
+    distinct = materialize(windows.groupBy("long1", "long2", "steps").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo < hi"), "crowded-windows")
+    prefix = F.lit(None).cast("bigint")
+    for at in reversed(range(len(LENGTHS))):
+        step = F.col("steps")[at]
+        fits = distinct.groupBy(step.alias(f"p{at}")).agg(F.sum("n").alias(f"n{at}")).where(f"n{at} <= {CROWDED}").select(f"p{at}")
+        distinct = distinct.join(fits, step == F.col(f"p{at}"), "left")
+        prefix = F.coalesce(f"p{at}", prefix)
+    settled = materialize(distinct.select("long1", "long2", "steps", "lo", "hi", prefix.alias("prefix")), "lengthened-prefixes")
+    found = windows.join(settled, ["long1", "long2", "steps"])
+    return (found.where("prefix IS NOT NULL").select("doc_id", "key", "prefix", "starts"),
+            found.where("prefix IS NULL").select("doc_id", "key", "starts", "lo", "hi"))
+
+
+def _repeated_ranges(judged: DataFrame, earlier: bool) -> DataFrame:
+    """(doc_id, key, ranges) of the texts in (doc_id, key, text) with words below deep nodes."""
     dealt = materialize(map_rows(judged, _emit_anchors, "doc_id bigint, key bigint, prefix bigint, places array<bigint>"), "anchors")
     shared = dealt.groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum(F.size("places")).alias("n"))
     shared = shared.where("lo < hi").select("prefix", (F.col("n") > CROWDED).alias("crowded"))
     wanted = materialize(
         dealt.join(shared, "prefix").groupBy("doc_id", "key").agg(F.collect_list(F.struct("prefix", "places", "crowded")).alias("shared")),
         "wanted-anchors")
-    few = broadcast_measured(wanted.select("doc_id", "key"), 32)
-    texts = judged.join(few, ["doc_id", "key"], "semi").join(wanted, ["doc_id", "key"]).select("doc_id", "key", "text", "shared")
+
+    def texts_with(wanted: DataFrame) -> DataFrame:
+        few = broadcast_measured(wanted.select("doc_id", "key"), 32)
+        return judged.join(few, ["doc_id", "key"], "semi").join(wanted, ["doc_id", "key"])
+
     suffixes = materialize(map_rows(
-        texts, _emit_suffixes, "doc_id bigint, key bigint, prefix bigint, first bigint, last bigint, words binary, long1 bigint, long2 bigint, starts array<bigint>"),
+        texts_with(wanted).select("doc_id", "key", "text", "shared"), _emit_suffixes,
+        "doc_id bigint, key bigint, prefix bigint, first bigint, last bigint, words binary, steps array<bigint>, long1 bigint, long2 bigint, starts array<bigint>"),
         "suffixes")
-
-    trees = (suffixes.where("words IS NOT NULL").select("doc_id", "key", "prefix", "first", "last", "words")
-             .repartition("prefix").sortWithinPartitions("prefix")
-             .mapInArrow(_emit_repeats, "doc_id bigint, key bigint, `from` bigint, `to` bigint")
-             .select("doc_id", "key", F.array(F.struct("from", "to")).alias("ranges")))
-    lengthened = suffixes.where("words IS NULL").select("doc_id", "key", "starts", "long1", "long2")
-    least = lengthened.groupBy("long1", "long2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi")
-    nodes = lengthened.join(least, ["long1", "long2"]).where("doc_id > lo").select(
-        "doc_id", "key", F.transform("starts", lambda s: F.struct(s.alias("from"), (s + SPAN).alias("to"))).alias("ranges"))
-    ranges = materialize(trees.unionByName(nodes).groupBy("doc_id", "key").agg(
-        F.flatten(F.collect_list("ranges")).alias("ranges")), "repeated-ranges")
+    leaves = suffixes.where("words IS NOT NULL").select("doc_id", "key", "prefix", "first", "last", "words", "starts")
+    windows = suffixes.where("words IS NULL").select("doc_id", "key", "steps", "long1", "long2", "starts")
+    nodes = None
+    if not windows.isEmpty():
+        fitting, nodes = _lengthened_groups(windows)
+        again = materialize(fitting.groupBy("doc_id", "key").agg(F.collect_list(F.struct("prefix", "starts")).alias("wanted")), "wanted-windows")
+        leaves = leaves.unionByName(map_rows(
+            texts_with(again).select("doc_id", "key", "text", "wanted"), _emit_lengthened,
+            "doc_id bigint, key bigint, prefix bigint, first bigint, last bigint, words binary, starts array<bigint>"))
+
+    def windows_at(starts):
+        return F.transform(starts, lambda s: F.struct(s.alias("from"), (s + SPAN).alias("to")))
+
+    ranges = (leaves.repartition("prefix").sortWithinPartitions("prefix")
+              .mapInArrow(_repeats_of(earlier), "doc_id bigint, key bigint, `from` bigint, `to` bigint, starts array<bigint>")
+              .select("doc_id", "key", F.coalesce(windows_at("starts"), F.array(F.struct("from", "to"))).alias("ranges")))
+    if nodes is not None:
+        ranges = ranges.unionByName(nodes.where("doc_id > lo" if earlier else "lo < hi").select("doc_id", "key", windows_at("starts").alias("ranges")))
+    return materialize(ranges.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "repeated-ranges")
+
+
+def _beside(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     width = ranges.agg(F.max(F.size("ranges"))).first()[0] or 1
-    out = rows.join(broadcast_measured(ranges, 32 + 16 * width), ["doc_id", "key"], "left").select("doc_id", "text", "copy", "ranges")
+    return rows.join(broadcast_measured(ranges, 32 + 16 * width), ["doc_id", "key"], "left")
+
+
+def drop_repeated_spans(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, kept_text) per row; words under a repeated window are gone.
+
+    A window of ``SPAN`` words goes if a row with a smaller id has it too.
+
+    * Whole copies are found by digest; they need no tree.
+    * Only anchored suffixes (about one word in eighteen) are dealt by the
+      hash of their first ``PREFIX`` words, and only prefixes that occur under
+      two ids go on. A prefix with more than ``CROWDED`` suffixes is lengthened
+      by the steps of ``LENGTHS`` until its group fits. Where even the whole
+      window is crowded, its group is a single node, and an aggregate finds the
+      smallest id, so no group is ever larger than a task can hold.
+    * A task sorts the suffixes of its groups (suffix array and common-prefix
+      lengths, which are the subtree); a leaf's deepest node of ``SPAN`` words
+      and more with a smaller id is its maximal repeat, and those cover what goes.
+
+    Hashes only deal and prune; suffixes of a subtree are compared word by
+    word, windows that are a node of their own by 128 bits. Null texts have no
+    words. Rows with a null id neither lose words nor take them from others;
+    rows with the same id leave each other alone. Extra columns are ignored.
+    """
+    rows = _with_copies(docs).withColumn("copy", F.coalesce(F.col("doc_id") > F.col("original"), F.lit(False))).drop("original", "latest")
+    ranges = _repeated_ranges(rows.where("NOT copy AND doc_id IS NOT NULL").select("doc_id", "key", "text"), earlier=True)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return map_rows(out, _finish, schema + ", kept_text string" if keep_text else schema)
+    return map_rows(_beside(rows, ranges).select("doc_id", "text", "copy", "ranges"), _finish, schema + ", kept_text string" if keep_text else schema)
+
+
+def _emit_spans(batch: pa.RecordBatch) -> dict:
+    out = {n: [] for n in ("doc_id", "first_word", "n_words", "span")}
+    for doc_id, text, whole, ranges in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        words = text.split()
+        joined: list[list[int]] = []
+        for begin, end in [(0, len(words))] if whole else sorted({(r["from"], r["to"]) for r in ranges or []}):
+            # Neighbours that share all but one word of a window have no unrepeated window between them.
+            if joined and begin <= joined[-1][1] - SPAN + 1:
+                joined[-1][1] = max(joined[-1][1], end)
+            elif end - begin >= SPAN:
+                joined.append([begin, end])
+        for begin, end in joined:
+            for column, value in zip(out.values(), (doc_id, begin, end - begin, b" ".join(words[begin:end]).decode())):
+                column.append(value)
+    return out
+
+
+def maximal_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, first_word, n_words, span): the longest stretches of a row whose every window of ``SPAN`` words is in a row of another id too.
+
+    Found as in ``drop_repeated_spans``, with any other id in place of a smaller
+    one; a repeat longer than the words of a leaf is joined from the nodes along
+    its text. Words count from 0. Rows with a null id, null and short texts have
+    none; rows with the same id are not each other's repeats, and a row that is
+    there twice returns its stretches twice. Extra columns are ignored.
+    """
+    rows = _with_copies(docs).where("doc_id IS NOT NULL").withColumn("whole", F.coalesce(F.col("original") < F.col("latest"), F.lit(False)))
+    # Of equal texts the two outermost ids stand for all: any other id differs from one of them.
+    judged = rows.where("NOT whole OR doc_id = original OR doc_id = latest").select("doc_id", "key", "text")
+    return map_rows(_beside(rows, _repeated_ranges(judged, earlier=False)).select("doc_id", "text", "whole", "ranges"), _emit_spans,
+                    "doc_id bigint, first_word bigint, n_words bigint, span string")
 
 
 REPEATS_SQL = r"""

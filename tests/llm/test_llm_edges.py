@@ -104,6 +104,8 @@ def test_repeats(odd, none):
     got = {(r.doc_id, r.n_words): r.n_removed for r in suffix.drop_repeated_spans(odd).collect()}
     assert got[8, 60_000] == 60_000 and got[4, 60_000] == 0 and suffix.drop_repeated_spans(odd).count() == len(ROWS)
     assert suffix.drop_repeated_spans(none).count() == 0
+    spans = sorted((r.doc_id, r.first_word, r.n_words) for r in suffix.maximal_repeats(odd).collect())
+    assert spans == [(4, 0, 60_000), (8, 0, 60_000)] and suffix.maximal_repeats(none).count() == 0
 
 
 def test_imatch(odd, none):

@@ -107,6 +107,65 @@ def test_repeated_spans_by_brute_force(spark, monkeypatch, crowded):
     got = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in rows_of(suffix.drop_repeated_spans(docs_of(spark, texts)))}
     assert got == want
 
+    holders = {}
+    for i, t in enumerate(tokens):
+        for at in range(len(t) - 49):
+            holders.setdefault(tuple(t[at:at + 50]), set()).add(i)
+    spans = set()
+    for i, t in enumerate(tokens):
+        hits = [at for at in range(len(t) - 49) if len(holders[tuple(t[at:at + 50])]) > 1]
+        for k, at in enumerate(hits):
+            if k == 0 or hits[k - 1] != at - 1:
+                first = at
+            if k + 1 == len(hits) or hits[k + 1] != at + 1:
+                spans.add((i, first, at + 50 - first, " ".join(t[first:at + 50])))
+    repeats = [(r["doc_id"], r["first_word"], r["n_words"], r["span"]) for r in rows_of(suffix.maximal_repeats(docs_of(spark, texts)))]
+    assert spans and len(repeats) == len(spans) and set(repeats) == spans
+
+
+def test_subtree_nodes_by_brute_force():
+    rng = random.Random(8)
+    stem = words(rng, 84)
+    rows = [stem[:rng.randrange(50, 84)] + words(rng, 90, 2) for _ in range(30)] + [["same"] * 70] * 3
+    rows = [r[:84] for r in rows] + [words(rng, 50)]
+    ids = [rng.randrange(20) for _ in rows]
+    places, ranks = suffix.suffix_array([" ".join(r).encode() for r in rows])
+    assert len(ranks) == 8 and len(set(ranks[-1].tolist())) == len(ranks[-1]) == sum(len(r) + 1 for r in rows)
+
+    def common(a, b):
+        return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    for earlier in (True, False):
+        want = []
+        for i, r in enumerate(rows):
+            last = 0
+            for at in range(len(r) - 49):
+                deep = max((common(r[at:], o[b:]) for j, o in enumerate(rows) if (ids[j] < ids[i] if earlier else ids[j] != ids[i]) for b in range(len(o) - 49)), default=0)
+                reach = at + deep if deep >= 50 else 0
+                if reach > last:
+                    want.append((i, at, reach))
+                last = reach
+        zeros = np.zeros(len(rows), np.int64)
+        got = suffix.deep_repeats(np.array(ids), zeros, np.array([len(r) - 50 for r in rows]), [" ".join(r).encode() for r in rows], earlier)
+        assert got == want and want
+
+
+@pytest.mark.parametrize("limit", [3, 12, 1000])
+def test_prefixes_are_lengthened_until_they_fit(spark, monkeypatch, limit):
+    """Windows that share 16, 30 or all words come out alike whichever step their group fits at."""
+    monkeypatch.setattr(suffix, "CROWDED", limit)
+    rng = random.Random(9)
+    stem = words(rng, 30)
+    tails = [words(rng, 40) for _ in range(6)]
+    texts = [" ".join(words(rng, rng.randrange(9)) + stem[:rng.choice([16, 30])] + tails[i % 6]) for i in range(36)]
+    got = {r["doc_id"]: r["n_removed"] for r in rows_of(suffix.drop_repeated_spans(docs_of(spark, texts)))}
+    tokens, seen = [t.split() for t in texts], {}
+    for i, t in enumerate(tokens):
+        windows = {at: tuple(t[at:at + 50]) for at in range(len(t) - 49)}
+        assert got[i] == len({w for at, x in windows.items() if seen.get(x, i) < i for w in range(at, at + 50)})
+        for x in windows.values():
+            seen.setdefault(x, i)
+
 
 def test_winnowing_finds_every_shared_window(spark):
     rng = random.Random(4)
