@@ -86,7 +86,11 @@ def load_linear_config(path: str | None) -> LinearConfig:
     """Read the model JSON; defaults stand in for a missing file or key."""
     if path is None or not Path(path).exists():
         return LinearConfig()
-    raw = json.loads(Path(path).read_text(encoding="utf-8"))
+    return linear_config_from_json(Path(path).read_text(encoding="utf-8"))
+
+
+def linear_config_from_json(text: str) -> LinearConfig:
+    raw = json.loads(text)
     known = {f.name for f in fields(LinearConfig)}
     flat = {**raw.get("hyperparameters", {}), **raw.get("training", {})}
     kwargs = {k: v for k, v in flat.items() if k in known}

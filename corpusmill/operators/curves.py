@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusmill.functions.numeric import safe_ratio
+from corpusmill.session import materialize
 
 
 def score_counts(df: DataFrame, *by: str, label: str = "label", score: str = "score") -> DataFrame:
@@ -26,17 +29,36 @@ def score_splits(counts: DataFrame, buckets: int | None = None) -> list[float]:
     return [float("-inf"), *sorted(set(cuts)), float("inf")]
 
 
-def cumulative(counts: DataFrame, *by: str, splits: list[float] | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class ScoreTable:
+    """Written counts per score with the borders of their buckets, for any number of curves.
+
+    The scored rows are computed once, when the table is written; borders and
+    curves read the narrow table only.
+    """
+
+    counts: DataFrame
+    splits: list[float]
+    by: tuple[str, ...] = ()
+
+    @classmethod
+    def of(cls, df: DataFrame | ScoreTable, *by: str, splits: list[float] | None = None) -> ScoreTable:
+        if isinstance(df, cls):
+            return df
+        counts = materialize(score_counts(df, *by), "score-counts")
+        return cls(counts, score_splits(counts) if splits is None else splits, by)
+
+
+def cumulative(table: ScoreTable) -> DataFrame:
     """Add tp and fp: positives and negatives at or above each score.
 
     A window over all scores would be one task. Scores are put into ordered
     buckets; each bucket runs its own window and starts from the total of the
     buckets above, which is a table of one row per bucket and group.
     """
-    splits = score_splits(counts) if splits is None else splits
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    put = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket").transform(counts)
+    by = table.by
+    splits = table.splits if len(table.splits) > 2 else [float("-inf"), 0.0, float("inf")]
+    put = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket").transform(table.counts)
     above = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (put.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
                .select(*by, "_bucket", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p0"),
@@ -49,48 +71,49 @@ def cumulative(counts: DataFrame, *by: str, splits: list[float] | None = None) -
         (F.col("_pc") + F.col("_p0")).alias("tp"), (F.col("_nc") + F.col("_n0")).alias("fp"))
 
 
-def _with_totals(counts: DataFrame, running: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+def _with_totals(table: ScoreTable) -> DataFrame:
+    running, by = cumulative(table), table.by
+    totals = table.counts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     if by:
         return running.join(totals, list(by))
     return running.withColumns({"n_pos": totals.select("n_pos").scalar(),
                                 "n_neg": totals.select("n_neg").scalar()})
 
 
-def roc_curve(df: DataFrame, *by: str, splits: list[float] | None = None) -> DataFrame:
+def roc_curve(df: DataFrame | ScoreTable, *by: str, splits: list[float] | None = None) -> DataFrame:
     """(threshold, tpr, fpr) per distinct score, after the (0, 0) start point."""
-    counts = score_counts(df, *by)
-    points = _with_totals(counts, cumulative(counts, *by, splits=splits), by).select(
-        *by, F.col("score").alias("threshold"),
+    table = ScoreTable.of(df, *by, splits=splits)
+    points = _with_totals(table).select(
+        *table.by, F.col("score").alias("threshold"),
         safe_ratio(F.col("tp"), F.col("n_pos")).alias("tpr"),
         safe_ratio(F.col("fp"), F.col("n_neg")).alias("fpr"))
-    start = counts.select(*by).distinct() if by else df.sparkSession.range(1)
-    return start.select(*by, F.lit(None).cast("double").alias("threshold"),
+    start = table.counts.select(*table.by).distinct() if table.by else table.counts.sparkSession.range(1)
+    return start.select(*table.by, F.lit(None).cast("double").alias("threshold"),
                         F.lit(0.0).alias("tpr"), F.lit(0.0).alias("fpr")).unionByName(points)
 
 
-def pr_curve(df: DataFrame, *by: str, splits: list[float] | None = None) -> DataFrame:
-    counts = score_counts(df, *by)
-    return _with_totals(counts, cumulative(counts, *by, splits=splits), by).select(
-        *by, F.col("score").alias("threshold"),
+def pr_curve(df: DataFrame | ScoreTable, *by: str, splits: list[float] | None = None) -> DataFrame:
+    table = ScoreTable.of(df, *by, splits=splits)
+    return _with_totals(table).select(
+        *table.by, F.col("score").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         safe_ratio(F.col("tp"), F.col("n_pos")).alias("recall"))
 
 
-def auc_roc(df: DataFrame, *by: str, splits: list[float] | None = None) -> DataFrame:
+def auc_roc(df: DataFrame | ScoreTable, *by: str, splits: list[float] | None = None) -> DataFrame:
     """Area by the trapezoid rule, ties included; 0.5 with a single class."""
-    running = cumulative(score_counts(df, *by), *by, splits=splits)
+    table = ScoreTable.of(df, *by, splits=splits)
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return running.groupBy(*by).agg(
+    return cumulative(table).groupBy(*table.by).agg(
         F.when(pairs > 0, area / pairs).otherwise(F.lit(0.5)).alias("auc_roc"))
 
 
-def average_precision(df: DataFrame, *by: str, splits: list[float] | None = None) -> DataFrame:
+def average_precision(df: DataFrame | ScoreTable, *by: str, splits: list[float] | None = None) -> DataFrame:
     """Sum of recall steps times precision."""
-    running = cumulative(score_counts(df, *by), *by, splits=splits)
+    table = ScoreTable.of(df, *by, splits=splits)
     steps = F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
-    return running.groupBy(*by).agg(safe_ratio(steps, F.sum("pos")).alias("average_precision"))
+    return cumulative(table).groupBy(*table.by).agg(safe_ratio(steps, F.sum("pos")).alias("average_precision"))
 
 
 def threshold_sweep(df: DataFrame, steps: int = 100, label: str = "label", score: str = "score") -> DataFrame:
@@ -140,6 +163,7 @@ def running_metrics(df: DataFrame, batch_size: int = 500) -> DataFrame:
     doc_id, and a range starts where the ones before it end.
     """
     buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = materialize(df.select("doc_id", "label", "pred"), "predictions")
     borders = df.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [float("-inf"), *sorted(set(borders)), float("inf")]
     put = Bucketizer(splits=splits, inputCol="_id", outputCol="_range").transform(

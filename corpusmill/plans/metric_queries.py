@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import functions as F
 
 from corpusmill.functions.numeric import log_loss_term, sigmoid, threshold_predict
@@ -46,7 +49,8 @@ def classification_report(spark, sf):
     return rounded(M.classification_report(M.confusion_counts(I.scored(spark, sf))))
 
 
-@query("classification_report_text")
+@query("classification_report_text", W_CONF + "SELECT printf('%-14s %9.4f %9.4f %9.4f %9d', \"row\", \"precision\", recall, f1_score, support) AS value "
+       f"FROM ({S.report_rows('conf')})")
 def classification_report_text(spark, sf):
     path = scratch_path(spark, "report")
     report = M.classification_report(M.confusion_counts(I.scored(spark, sf)))
@@ -101,6 +105,18 @@ def pr_curve(spark, sf):
     return rounded(U.pr_curve(I.scored(spark, sf)))
 
 
+@query("curve_areas", S.with_(*S.SCORED, RUN, *S.auc("scored")) + """SELECT round((SELECT auc_roc FROM auc_t), 6) AS auc_roc,
+round(sum(pos * (tp / (tp + fp)::DOUBLE)) / max(n_pos), 6) AS average_precision, count(*) + 1 AS n_roc, count(*) AS n_pr,
+round(max(tp / n_pos::DOUBLE - fp / n_neg::DOUBLE), 6) AS widest_gap FROM running""")
+def curve_areas(spark, sf):
+    """Both areas and both curves from one written table of scores."""
+    table = U.ScoreTable.of(I.scored(spark, sf))
+    roc = U.roc_curve(table).agg(F.count("*").alias("n_roc"), F.max(F.when(F.col("threshold").isNotNull(), F.col("tpr") - F.col("fpr"))).alias("widest_gap"))
+    pr = U.pr_curve(table).agg(F.count("*").alias("n_pr"))
+    areas = U.auc_roc(table).withColumn("average_precision", U.average_precision(table).scalar())
+    return rounded(areas.withColumns({"n_roc": roc.select("n_roc").scalar(), "n_pr": pr.scalar(), "widest_gap": roc.select("widest_gap").scalar()}))
+
+
 SWEEP = """levels AS (SELECT CAST(k AS INTEGER) AS step, CASE WHEN k = 99 THEN 0.0::DOUBLE ELSE k * (-1.0::DOUBLE / 99) + 1.0::DOUBLE END AS threshold
 FROM range(100) t(k)),
 hits AS (SELECT step, threshold, count(*) FILTER (label = 1 AND score >= threshold) AS tp, count(*) FILTER (label = 0 AND score >= threshold) AS fp,
@@ -173,9 +189,12 @@ def sigmoids(spark, sf):
     return rounded(I.scored(spark, sf).select("doc_id", sigmoid((F.col("score") - F.lit(0.5)) * 2000).alias("p")))
 
 
-@query("log_loss_penalised", S.with_(*S.SCORED) + """SELECT round((SELECT avg(CASE WHEN label = 1 THEN -ln(p) ELSE -ln(1 - p) END) FROM
+PENALISED = S.with_(*S.SCORED) + """SELECT round((SELECT avg(CASE WHEN label = 1 THEN -ln(p) ELSE -ln(1 - p) END) FROM
 (SELECT label, least(greatest(score, 1e-15::DOUBLE), 1 - 1e-15::DOUBLE) AS p FROM scored))
-+ 0.5::DOUBLE / (2 * (SELECT count(*) FROM scored)) * (SELECT sum((n_nationkey / 10.0::DOUBLE) ** 2) FROM nation), 6) AS cost""")
++ 0.5::DOUBLE / (2 * (SELECT count(*) FROM scored)) * (SELECT sum((n_nationkey / 10.0::DOUBLE) ** 2) FROM nation), 6) AS cost"""
+
+
+@query("log_loss_penalised", PENALISED)
 def log_loss_penalised(spark, sf):
     """Cross-entropy of the scored frame plus the penalty of a weight table."""
     from corpusmill.operators.linear import log_loss as penalised
@@ -183,6 +202,22 @@ def log_loss_penalised(spark, sf):
     return rounded(penalised(I.scored(spark, sf), weights, 0.5))
 
 
+@query("load_linear_config", f"SELECT cost, 0.25::DOUBLE AS learning_rate, CAST(1500 AS INTEGER) AS n_iterations, CAST(6 AS INTEGER) AS n_settings FROM ({PENALISED})")
+def load_linear_config(spark, sf):
+    """Descent settings from a written file set the penalty; what the file leaves out keeps its default."""
+    from corpusmill.config import linear_config_from_json
+    from corpusmill.operators.linear import log_loss as penalised
+    path = scratch_path(spark, "settings")
+    written = {"hyperparameters": {"learning_rate": 0.25, "regularization": 0.5, "unknown": 1},
+               "hyperparameter_search_space": {"learning_rate": [0.1, 0.2, 0.3], "regularization": [0.5, 1.0]}}
+    K.text_report(spark.createDataFrame([(json.dumps(written),)], "value string"), path)
+    config = linear_config_from_json(spark.read.text(path).first().value)
+    weights = I.table(spark, sf, "nation").select((F.col("n_nationkey") / 10.0).alias("w"))
+    return rounded(penalised(I.scored(spark, sf), weights, config.regularization).withColumns({
+        "learning_rate": F.lit(config.learning_rate), "n_iterations": F.lit(config.n_iterations),
+        "n_settings": F.lit(math.prod(len(v) for v in config.search_space.values()))}))
+
+
 @query("log_loss", W + """SELECT round(avg(CASE WHEN label = 1 THEN -ln(p) ELSE -ln(1 - p) END), 6) AS cost FROM
 (SELECT label, greatest(1e-15::DOUBLE, least(1 - 1e-15::DOUBLE, score)) AS p FROM scored)""")
 def log_loss(spark, sf):

@@ -521,9 +521,9 @@ def _write_runs(spark, sf):
     """Run folders as a comparison leaves them: one per language, old and new records."""
     base = scratch_path(spark, "runs")
     words = I.scored(spark, sf).join(I.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
-    rows = weighted_metrics(confusion_counts(words, "lang")).orderBy("lang").collect()
+    rows = weighted_metrics(confusion_counts(words, "lang")).join(auc_roc(words, "lang"), "lang").orderBy("lang").collect()
     fields = {"accuracy": "accuracy", "precision": "precision_weighted", "recall": "recall_weighted",
-              "f1_score": "f1_weighted", "specificity": "specificity"}
+              "f1_score": "f1_weighted", "specificity": "specificity", "auc_score": "auc_roc"}
     for i, row in enumerate(rows):
         metrics = {k: row[c] for k, c in fields.items()}
         inner = metrics if i % 2 else {}
@@ -542,6 +542,26 @@ def collect_runs(spark, sf):
                                F.col("train_metrics.accuracy").alias("train_accuracy")))
 
 
+def _pick(criterion, column, order="DESC", best="max"):
+    return (f"SELECT '{criterion}' AS criterion, (SELECT lang FROM m ORDER BY {column} {order}, rn LIMIT 1) AS config_name, "
+            f"round({best}({column}), 6) AS value FROM m")
+
+
+@query("leaderboard_runs", S.with_(
+    *S.SCORED, "w AS (SELECT s.*, d.lang FROM scored s JOIN (SELECT doc_id, lang FROM documents) d USING (doc_id))",
+    f"c AS (SELECT lang, {S.CONFUSION_COLUMNS} FROM w GROUP BY lang)", *S.auc("w", "lang"),
+    f"""m AS (SELECT lang, {S.WEIGHTED['accuracy']} AS accuracy, {S.WEIGHTED['f1_weighted']} AS f1, auc_roc AS auc,
+row_number() OVER (ORDER BY lang) AS rn, 9.0::DOUBLE + row_number() OVER (ORDER BY lang) AS seconds FROM c JOIN auc_t USING (lang))""")
+       + " UNION ALL ".join([_pick("best_accuracy", "accuracy"), _pick("best_f1", "f1"), _pick("best_auc", "auc"),
+                             _pick("fastest_training", "seconds", "ASC", "min")]))
+def leaderboard_runs(spark, sf):
+    """Winners among run folders that were written and collected."""
+    runs = Z.collect_runs(spark, _write_runs(spark, sf))
+    order = F.row_number().over(Window.orderBy("config_name"))     # a row per run folder
+    return rounded(L.leaderboard(runs.select(
+        "config_name", "test_metrics.*", F.col("training_time_seconds").alias("training_time"), order.alias("run_no"))))
+
+
 @query("latest_model", "SELECT max(lang) AS newest, max(lang) || '_metadata.json' AS file FROM documents")
 def latest_model(spark, sf):
     """One record per language, written in the order of their names; the last is the newest."""

@@ -87,6 +87,20 @@ def test_grouped_auc(spark):
         assert math.isclose(whole[g], U.auc_roc(df.where(F.col("g") == g)).first().auc_roc)
 
 
+def test_curves_share_a_written_table(spark):
+    df = frame(spark, random_rows())
+    table = U.ScoreTable.of(df)
+    assert U.ScoreTable.of(table) is table
+    plan = table.counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "Aggregate" not in plan
+    for curve in (U.roc_curve, U.pr_curve, U.auc_roc, U.average_precision):
+        assert sorted(map(str, curve(table).collect())) == sorted(map(str, curve(df).collect()))
+    by_group = U.ScoreTable.of(df.withColumn("g", F.col("doc_id") % 3), "g")
+    assert U.roc_curve(by_group).groupBy("g").count().count() == 3 == U.auc_roc(by_group).count()
+    none = U.ScoreTable.of(df.where("false"))
+    assert U.roc_curve(none).count() == 1 and U.pr_curve(none).count() == 0 and U.auc_roc(none).first().auc_roc == 0.5
+
+
 def test_sweep_by_brute_force(spark):
     rows = random_rows() + [(1, 1.0), (0, 0.0), (1, 50 * (-1 / 99) + 1)]
     got = {r.step: r for r in U.threshold_sweep(frame(spark, rows)).collect()}
