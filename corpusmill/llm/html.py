@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusmill.llm.common import map_rows
 
-TRAINING_PAGES, TRAINING_CHARS = 200, 100_000  # most pages the trees are fitted on, and the longest that is taken for it
+TRAINING_PAGES, TRAINING_CHARS = 200, 8_000_000   # pages the trees are fitted on, and their characters in all
 DRESSINGS = 3                                  # labelled templates that a sampled page's text is put in
 TREES, DEPTH, RATE, BINS = 40, 4, 0.25, 32
 SWITCH_COST = 1.0                              # of a node that is neither kept nor dropped as a whole
@@ -377,17 +377,23 @@ def dress(title: str, blocks: list[str], others: list[str], rng: random.Random)
     return f"<html><head><title>{esc(title)}</title></head><body data-y=0>{middle}</body></html>"
 
 
-def fit(pages: DataFrame, most: int = TRAINING_PAGES, longest: int = TRAINING_CHARS) -> Forest:
+def fit(pages: DataFrame, most: int = TRAINING_PAGES, chars: int = TRAINING_CHARS) -> Forest:
     """Learn the trees from a bounded sample of the given pages.
 
-    The ``most`` pages with the lowest hashes among those of at most ``longest``
-    characters reach the driver, whole. Where such a page marks its article,
+    Of the ``most`` pages with the lowest hashes those reach the driver, whole,
+    that together have no more than ``chars`` characters, in the order of their
+    hashes; the shortest one always does. Where such a page marks its article,
     that is a label; its text is also put in ``DRESSINGS`` layouts whose parts
-    are known. Without a page of that length the layouts hold one short text.
+    are known.
     """
-    known = pages.where(F.length("html").between(1, longest)).select("html", F.xxhash64("html").alias("code"))
-    lowest = [r["code"] for r in known.select("code").distinct().orderBy("code").limit(most).collect()]
-    sample = known.where(F.col("code").isin(lowest)).groupBy("code").agg(F.min("html").alias("html")).orderBy("code").collect()
+    known = pages.where("html IS NOT NULL AND length(html) > 0").select("html", F.xxhash64("html").alias("code"))
+    lowest = known.groupBy("code").agg(F.max(F.length("html")).alias("size")).orderBy("code").limit(most).collect()
+    taken, left = {r["code"] for r in sorted(lowest, key=lambda r: r["size"])[:1]}, chars
+    for r in lowest:
+        if r["size"] <= left:
+            taken.add(r["code"])
+            left -= r["size"]
+    sample = known.where(F.col("code").isin(list(taken))).groupBy("code").agg(F.min("html").alias("html")).orderBy("code").collect()
     rng = random.Random(9)
     parsed = [parse(r["html"], labelled=False) for r in sample]
     texts = []
@@ -423,14 +429,14 @@ def extract(sources: list[str], forest: Forest) -> list[str]:
     return out
 
 
-def main_text(pages: DataFrame, most: int = TRAINING_PAGES, longest: int = TRAINING_CHARS) -> DataFrame:
+def main_text(pages: DataFrame, most: int = TRAINING_PAGES, chars: int = TRAINING_CHARS) -> DataFrame:
     """(page_id, url, text, n_chars) per row: the article's blocks in page order, from the whole html.
 
-    ``most`` and ``longest`` bound the sample of ``fit``. Null and empty pages, and pages without text, give the empty text. Extra
+    ``most`` and ``chars`` bound the sample of ``fit``. Null and empty pages, and pages without text, give the empty text. Extra
     columns are ignored, repeated rows stay, no rows give no rows. Pages are
     not shuffled.
     """
-    forest = fit(pages, most, longest)
+    forest = fit(pages, most, chars)
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
     def of_batch(batch: pa.RecordBatch) -> dict:

@@ -141,7 +141,9 @@ def test_pages(spark):
     got = html.main_text(pages).collect()
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert html.main_text(pages.where("false")).count() == 0
-    whole = {r.page_id: r.n_chars for r in html.main_text(pages, most=2, longest=10).collect()}     # no page is short enough to learn from but one
+    whole = {r.page_id: r.n_chars for r in html.main_text(pages).collect()}
+    assert whole[6] > 200_000 and whole[2] == 0
+    assert html.main_text(pages, most=3, chars=1).count() == len(rows)     # the shortest page is learned from all the same
     assert whole[6] > 200_000 and whole[2] == 0
     back = warc.archive_round_trip(pages).collect()
     assert len(back) == len(rows)
