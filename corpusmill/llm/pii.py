@@ -207,6 +207,11 @@ def _all_spans() -> Column:
                                     lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
 
 
+def _spans_of(kind: int) -> Column:
+    """Number of base spans of a kind. The predicate takes the span alone: a second parameter, even a default, would be its position."""
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row.
 
@@ -222,7 +227,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     joined = scanned.drop("found").join(broadcast_measured(added, 64 + 16 * width), "digest", "left")
     name = F.array(*map(F.lit, KINDS))
     text = F.array_join(F.transform(_all_spans(), lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"], s["end"])), ",")
-    return joined.select("doc_id", *(F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)),
+    return joined.select("doc_id", *(_spans_of(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
                          "base_sha256", text.alias("spans"))
 
 

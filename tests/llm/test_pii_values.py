@@ -46,6 +46,14 @@ def test_a_number_beside_a_fixed_format_stays_a_candidate():
     assert [(k, v) for k, _, _, v, _ in pii.occurrences(text, pii.base_spans(text))] == [(1, "10.0.0.1"), (-1, "555 123 9876")]
 
 
+def test_counts_are_of_the_kind_wherever_its_spans_stand(spark):
+    texts = ["+1 555 010 12345 4111 1111 1111 1111x 1.2.3.4 a@b.co", "a@b.co c@d.ee e@f.org", "1.2.3.4 5.6.7.8 +1 555 010 12345 g@h.org", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in pii.find_pii(docs).collect()}
+    want = {i: tuple(sum(k == kind for k, _, _ in pii.base_spans(t or "")) for kind in range(4)) for i, t in enumerate(texts)}
+    assert got == want and got[1] == (3, 0, 0, 0) and got[2] == (1, 2, 0, 1)
+
+
 def luhn_cards(n):
     out, i = [], 0
     while len(out) < n:
