@@ -47,6 +47,14 @@ def test_folds_are_even_and_complete(spark):
         assert sum(counts) == n and max(counts) - min(counts) <= 1
 
 
+def test_folds_of_the_training_side_are_even(spark):
+    split = Y.stratified_split(corpus(spark, 103, 251))
+    got = sizes(Y.training_folds(split), "split", "label", "fold")
+    for label, n in ((0, 103), (1, 251)):
+        counts = [got.get(("train", label, f), 0) for f in range(5)]
+        assert max(counts) - min(counts) <= 1 and sum(counts) + got[("test", label, None)] == n
+
+
 def test_tiny_and_single_class(spark):
     one = Y.stratified_split(corpus(spark, 0, 3))
     assert sizes(one, "split") == {("test",): 1, ("train",): 2}
