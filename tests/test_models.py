@@ -84,6 +84,21 @@ def test_a_descent_goes_on_from_its_state(spark, tmp_path):
     assert [c[0] for c in again[0].costs] == [c[0] for c in whole[0].costs] and np.allclose([c[1] for c in again[0].costs], [c[1] for c in whole[0].costs])
 
 
+def test_a_step_is_one_stage_that_does_not_read_the_rows_again(spark):
+    seen = spark.sparkContext.accumulator(0)
+    empty = spark.createDataFrame([(40, 1, [], []), (41, 0, [], [])], "doc_id long, label int, idx array<int>, val array<double>")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = rows(spark).unionByName(empty).mapInArrow(counted, "doc_id long, label int, idx array<int>, val array<double>")
+    model = G.logreg_gd(df, 6, 0.5, 8, 0.1)
+    again = G.logreg_gd(rows(spark, 40).unionByName(empty), 6, 0.5, 8, 0.1)
+    assert seen.value == 42 and model.steps == 8 and np.allclose(model.weights, again.weights) and math.isclose(model.bias, again.bias)
+
+
 def test_search_table_winner_and_pivots(spark):
     from corpusmill.operators import selection as L
     df = rows(spark).persist()
