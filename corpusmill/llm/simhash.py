@@ -33,8 +33,12 @@ def simhash64(text: bytes, words: int = 3) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     stops = ends[len(tokens) - n:].tolist()
     spans = (joined[a:b] for a, b in zip(starts, stops))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, spans, repeat(42)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
+    return bits_of(np.fromiter(map(xxhash.xxh64_intdigest, spans, repeat(42)), np.uint64, n))
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of shingle hashes, repeats counted; 0 without any."""
+    ones, n = np.zeros(64, np.int64), len(hashes)
     for at in range(0, n, BLOCK):
         part = np.ascontiguousarray(hashes[at:at + BLOCK]).astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -88,6 +92,12 @@ def links(distinct_fps: DataFrame) -> DataFrame:
     return pairs.unionByName(hubs.join(least, "hub").where("a <> b").select("a", "b").distinct())
 
 
+def components_of(distinct_fps: DataFrame) -> DataFrame:
+    """(fp, root) of every distinct fingerprint: equal roots where links lead from one to the other."""
+    roots = connected_components(links(distinct_fps), "a", "b")
+    return distinct_fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicate_groups(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component) per row; ``component`` is the smallest id reachable over links.
 
