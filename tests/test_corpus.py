@@ -151,3 +151,29 @@ def test_optional_label_names(spark, tmp_path):
     (tmp_path / "n.csv").write_text("title,text\na,b\n")
     assert R.load_csv_optional_label(spark, str(tmp_path / "t.csv")).first().label == 1
     assert "label" not in R.load_csv_optional_label(spark, str(tmp_path / "n.csv")).columns
+
+
+def test_only_labelled_texts_are_dealt(spark, tmp_path):
+    from corpusmill.plans import inputs as I
+    spark.createDataFrame([(i, f"t{i}\nbody", "src1", "en") for i in range(6)], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (4, 0), (4, 1), (9, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = I.labelled(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.title, r.text, r.subject, r.lang, r.date, r.label) for r in df.collect()) == [
+        (1, "t1", "body", "src1", "en", "1", 1), (4, "t4", "body", "src1", "en", "4", 0), (4, "t4", "body", "src1", "en", "4", 1)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RepartitionByExpression") < plan.index("Join")     # the join is below
+
+
+@pytest.mark.parametrize("text", ["a@b.co x", "WWW.x.org y", "HTTPS://q.r s", "http\u017f://q.r s", "plain words", "x@y", "", None, "see http://a.b. End"])
+def test_texts_without_links_skip_the_pattern(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    same = T.strip_urls_emails(F.col("t")).eqNullSafe(F.regexp_replace("t", F.lit("(?iU)" + T.URL_EMAIL), F.lit(" ")))
+    out = df.select(same.alias("same"), T.strip_urls_emails(F.col("t")).alias("out"))
+    assert out.first().same and "CASE WHEN" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_grams_are_sorted_natively(spark):
+    from corpusmill.operators.terms import postings
+    df = postings(spark.createDataFrame([(1, "b\u00e9e aa b\u00e9e zz aa")], "doc_id long, content string"))
+    assert "array_sort" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.term: r.tf for r in df.collect() if " " not in r.term} == {"aa": 2, "bee": 2, "zz": 1}
