@@ -250,3 +250,25 @@ def test_specificity_drives_a_cross_validator(spark):
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 5.0]).build()
     model = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=SpecificityEvaluator(), numFolds=3, foldCol="fold").fit(data)
     assert len(model.avgMetrics) == 2 and all(0 <= m <= 1 for m in model.avgMetrics)
+
+
+def test_trees_are_sparks_and_never_see_rows_as_dense(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+    from corpusmill.operators import trees as D
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((200, 5)) < 0.5, np.round(rng.random((200, 5)) * 9 - 3), 0.0)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 1).astype(int)
+    vectors = [Vectors.dense(r) if i % 7 == 0 else Vectors.sparse(5, [(j, float(v)) for j, v in enumerate(r) if v]) for i, r in enumerate(x)]
+    df = spark.createDataFrame([(i, int(y[i]), v) for i, v in enumerate(vectors)], ["doc_id", "label", "features"]).repartition(3).persist()
+    want = GBTClassifier(maxIter=4, maxDepth=3, stepSize=0.1, minInfoGain=1 / 200, seed=42).fit(df)
+    fitted, fit = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, rows: (fitted.append(rows.count()), fit(self, rows))[1])
+    monkeypatch.setattr(D, "_LEAST", 100)        # several partitions and ranges of features
+    got = D.gbt(df, 4, 3, 0.1, 1.0, 1.0)
+    assert fitted == [2] and got.treeWeights == want.treeWeights and got.numFeatures == 5
+    ours, theirs = ([r.probability[1] for r in m.transform(df).orderBy("doc_id").collect()] for m in (got, want))
+    assert np.allclose(ours, theirs)
+    drawn = D.gbt(df, 4, 3, 0.1, 0.6, 1.0)       # part of the rows per tree, and the same again
+    assert drawn.featureImportances == D.gbt(df, 4, 3, 0.1, 0.6, 1.0).featureImportances
+    assert np.mean([r.prediction == r.label for r in drawn.transform(df).collect()]) > 0.85
