@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from corpusmill.session import BROADCAST_LIMIT_BYTES, materialize
 
-__all__ = ["broadcast_measured", "materialize", "map_rows", "read_table", "utf8"]
+__all__ = ["broadcast_measured", "materialize", "map_rows", "read_table", "slices", "utf8"]
 
 ROWS_AT_ONCE = 1000     # of an Arrow batch, to bound what a Python worker holds
 
@@ -25,16 +25,22 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``ROWS_AT_ONCE`` rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch, ``ROWS_AT_ONCE`` rows at a time; it returns the columns of ``schema``."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                out = fn(batch.slice(at, ROWS_AT_ONCE))
-                yield pa.RecordBatch.from_arrays(
-                    [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], types[n]) for n in names], names)
+        for batch in slices(batches):
+            out = fn(batch)
+            yield pa.RecordBatch.from_arrays(
+                [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], types[n]) for n in names], names)
 
     types = {f.name: to_arrow_type(f.dataType) for f in StructType.fromDDL(schema)}
     return df.mapInArrow(run, schema)

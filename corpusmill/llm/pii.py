@@ -9,7 +9,7 @@ from itertools import count
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusmill.llm.common import broadcast_measured, map_rows, materialize
+from corpusmill.llm.common import broadcast_measured, map_rows, materialize, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST_SUPPORT = 5      # known instances of a kind that a pattern needs
@@ -142,8 +142,9 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, base, found) per row: base spans and occurrences of the whole text; null is empty."""
     def of_batch(batch: pa.RecordBatch) -> dict:
-        base = [base_spans(t) for t in batch.column(2).to_pylist()]
-        found = [occurrences(t, b) for t, b in zip(batch.column(2).to_pylist(), base)]
+        texts = batch.column(2).to_pylist()
+        base = [base_spans(t) for t in texts]
+        found = [occurrences(t, b) for t, b in zip(texts, base)]
         return {"doc_id": batch.column(0), "digest": batch.column(1),
                 "base": [[dict(zip(("kind", "start", "end"), s)) for s in b] for b in base],
                 "found": [[dict(zip(("kind", "start", "end", "value", "contexts"), s)) for s in f] for f in found],
@@ -231,6 +232,19 @@ def find_pii(docs: DataFrame) -> DataFrame:
                          "base_sha256", text.alias("spans"))
 
 
+def _redact_task(columns: list[str]):
+    """Rows of ``columns`` and, last, the spans of their text."""
+    def run(batches):
+        for batch in slices(batches):
+            texts = batch.column(columns.index("text")).to_pylist()
+            for i, spans in enumerate(batch.column(len(columns)).to_pylist()):
+                if spans:
+                    texts[i] = replace_spans(texts[i], [(s["kind"], s["start"], s["end"]) for s in spans])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(n).type) if n == "text" else batch.column(i)
+                                              for i, n in enumerate(columns)], columns)
+    return run
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; n_chars follows where there is one."""
     scanned = materialize(scan(docs), "pii-scan")
@@ -243,16 +257,7 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("__pii_digest", F.md5(F.coalesce("text", F.lit("")))).join(
         broadcast_measured(spans, 64 + 16 * width), "__pii_digest", "left").drop("__pii_digest")
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(columns.index("text")).to_pylist()
-            for i, spans in enumerate(batch.column(len(columns)).to_pylist()):
-                if spans:
-                    texts[i] = replace_spans(texts[i], [(s["kind"], s["start"], s["end"]) for s in spans])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(n).type) if n == "text" else batch.column(i)
-                                              for i, n in enumerate(columns)], columns)
-
-    out = rows.select(*columns, "__pii_spans").mapInArrow(run, docs.schema)
+    out = rows.select(*columns, "__pii_spans").mapInArrow(_redact_task(columns), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
 
 

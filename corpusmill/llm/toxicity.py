@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusmill.llm.common import materialize
+from corpusmill.llm.common import materialize, slices
 
 MOST_TRAINING_ROWS = 20_000     # labelled rows that the lexicon and the scale are fitted on, chosen by hash
 MOST_ENTRIES = 5_000            # lexicon candidates, most frequent first
@@ -145,7 +145,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = MOST_TRAINING_
 def _count(rows: DataFrame, fn, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 counts.update(fn(text))
             if len(counts) > 500_000:
@@ -226,7 +226,7 @@ def fit(rows: DataFrame) -> ToxicityModel:
 def _scaled(model: ToxicityModel, rows: DataFrame) -> ToxicityModel:
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             pairs = [matcher.total(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.float64()), pa.array([p[1] for p in pairs], pa.int64()), batch.column(1)],
                                              ["weight", "words", "toxic"])
@@ -270,7 +270,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             scores = [matcher.score(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                                              [*kept, "score", "predicted"])
@@ -284,7 +284,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([matcher.score(t or "") < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

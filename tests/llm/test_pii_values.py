@@ -62,3 +62,14 @@ def luhn_cards(n):
             out.append(" ".join(digits[k:k + 4] for k in range(0, 16, 4)))
         i += 1
     return out
+
+
+def test_few_texts_are_strings_at_a_time():
+    import pyarrow as pa
+    from corpusmill.llm.common import ROWS_AT_ONCE
+    n = 2 * ROWS_AT_ONCE + 7
+    spans = [[{"kind": 0, "start": 3, "end": 8}] if i % 3 == 0 else None for i in range(n)]
+    batch = pa.record_batch([pa.array(range(n)), pa.array([f"to a@b.c {i}" for i in range(n)]), pa.array(spans)], ["doc_id", "text", "spans"])
+    out = list(pii._redact_task(["doc_id", "text"])(iter([batch])))
+    assert max(b.num_rows for b in out) <= ROWS_AT_ONCE and pa.Table.from_batches(out).column("doc_id").to_pylist() == list(range(n))
+    assert [t for b in out for t in b.column(1).to_pylist()] == [f"to [email] {i}" if i % 3 == 0 else f"to a@b.c {i}" for i in range(n)]
