@@ -272,3 +272,20 @@ def test_trees_are_sparks_and_never_see_rows_as_dense(spark, monkeypatch):
     drawn = D.gbt(df, 4, 3, 0.1, 0.6, 1.0)       # part of the rows per tree, and the same again
     assert drawn.featureImportances == D.gbt(df, 4, 3, 0.1, 0.6, 1.0).featureImportances
     assert np.mean([r.prediction == r.label for r in drawn.transform(df).collect()]) > 0.85
+
+
+def test_coverage_reads_the_rows_once_a_pass(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def passes(coverage):
+        before = seen.value
+        R.fit_nystrom(rows(spark).mapInArrow(counted, "doc_id long, label int, idx array<int>, val array<double>"), 6, R.KernelSpec("rbf", 0.5), 8, passes=2, coverage=coverage)
+        return (seen.value - before) / 40
+
+    # With coverage there is one reading more, of what the last pass leaves.
+    assert passes(R.Coverage([], [])) == passes(None) + 1
