@@ -180,3 +180,13 @@ def test_vocabulary_cut_by_steps(spark):
     counts = list(range(1, 9000)) + [2 ** k + d for k in range(14, 62) for d in (-1, 0, 1)]
     steps = [r.s for r in spark.createDataFrame([(c,) for c in counts], "cf long").select("cf", count_step(F.col("cf")).alias("s")).orderBy("cf").collect()]
     assert steps == sorted(steps) and steps[-1] < 220000
+
+
+def test_text_work_is_spread_over_the_cores(spark):
+    from corpusmill.config import FeatureConfig
+    from corpusmill.operators import tfidf as V
+    docs = spark.createDataFrame([(i, f"alpha beta word{i % 5}") for i in range(40)], "doc_id long, content string").coalesce(1)
+    vocab = V.fit_vocabulary(docs, FeatureConfig(ngram_max=1))
+    weights = V.tfidf_transform(docs, vocab, FeatureConfig(ngram_max=1))
+    assert weights.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert weights.count() == 40 and {r.term for r in vocab.collect()} == {f"word{i}" for i in range(5)}
