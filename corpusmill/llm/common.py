@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from corpusmill.session import BROADCAST_LIMIT_BYTES, materialize
 
-__all__ = ["broadcast_measured", "materialize", "map_rows", "read_table", "slices", "utf8"]
+__all__ = ["broadcast_measured", "materialize", "map_rows", "never_broadcast", "read_table", "slices", "utf8"]
 
 ROWS_AT_ONCE = 1000     # of an Arrow batch, to bound what a Python worker holds
 
@@ -49,8 +49,17 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], sch
 def broadcast_measured(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT_BYTES // 4) -> DataFrame:
     """Broadcast a written table whose counted rows stay under ``limit`` bytes.
 
-    ``row_bytes`` bounds the width of a row. Above the limit the join is left
-    to Spark, which shuffles both sides and splits skewed partitions.
+    ``row_bytes`` bounds the width of a row. Above the limit Spark shuffles
+    both sides and splits skewed partitions.
     """
     most = max(1, limit // row_bytes)
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else never_broadcast(df)
+
+
+def never_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` for a join that sends neither side whole to the driver and the executors.
+
+    Spark takes a table for as large as its file, and does not count the rows
+    that an explode adds: left alone it may broadcast many times its limit.
+    """
+    return df.hint("merge")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusmill.llm.common import broadcast_measured, map_rows, materialize, utf8
+from corpusmill.llm.common import broadcast_measured, map_rows, materialize, never_broadcast, utf8
 from corpusmill.llm.components import connected_components
 
 MAX_BITS = 2       # fingerprints link at this many differing bits or fewer
@@ -80,16 +80,16 @@ def links(distinct_fps: DataFrame) -> DataFrame:
     """
     keys = distinct_fps.select("fp", _variants().alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    cand = materialize(keys.join(shared, "key"), "simhash-candidates")
+    cand = materialize(keys.join(never_broadcast(shared), "key"), "simhash-candidates")
     few = cand.where(F.col("members") <= CROWDED).select("key", "fp")
-    pairs = (few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
+    pairs = (few.select("key", F.col("fp").alias("a")).join(never_broadcast(few.select("key", F.col("fp").alias("b"))), "key")
              .where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
              .select("a", "b").distinct())
     near = F.explode(F.array(F.col("fp"), *[
         F.col("fp").bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63))) for i in range(64)]))
     hubs = cand.where(F.col("members") > CROWDED).select("fp").distinct().select(F.col("fp").alias("a"), near.alias("hub"))
     least = hubs.groupBy("hub").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return pairs.unionByName(hubs.join(least, "hub").where("a <> b").select("a", "b").distinct())
+    return pairs.unionByName(hubs.join(never_broadcast(least), "hub").where("a <> b").select("a", "b").distinct())
 
 
 def components_of(distinct_fps: DataFrame) -> DataFrame:
