@@ -99,6 +99,26 @@ def test_a_step_is_one_stage_that_does_not_read_the_rows_again(spark):
     assert seen.value == 42 and model.steps == 8 and np.allclose(model.weights, again.weights) and math.isclose(model.bias, again.bias)
 
 
+@pytest.mark.parametrize("parts", [3, 20])
+def test_whole_copies_and_sums_descend_alike(spark, monkeypatch, parts):
+    df, runs = rows(spark, parts).persist(), [G.DescentRun(lr, 0.1) for lr in (0.02, 0.05, 0.1, 1.0, 2.0)]
+    passes, full_pass = [], G._full_pass
+    monkeypatch.setattr(G, "_full_pass", lambda *a: (passes.append(1), full_pass(*a))[1])
+    whole, kept = G.descend(df, 6, runs, 40, (10, 40), tolerance=0.3, every=15)
+    assert not passes                       # what a task can hold is not added up over tasks step by step
+    monkeypatch.setattr(G, "_WHOLE", 0)
+    summed, kept_too = G.descend(df, 6, runs, 40, (10, 40), tolerance=0.3, every=15)
+    assert len(passes) == 41 and sorted(kept) == sorted(kept_too) and {m.steps < 40 for m in whole} == {True, False}
+    for a, b in zip([*whole, *(kept[k] for k in sorted(kept))], [*summed, *(kept_too[k] for k in sorted(kept))]):
+        assert np.allclose(a.weights, b.weights) and math.isclose(a.bias, b.bias) and a.steps == b.steps and math.isclose(a.norm, b.norm)
+
+
+def test_no_run_of_the_search_ends_before_its_iterations(spark, sf_dir):
+    from corpusmill.plans.catalog import QUERIES
+    table = QUERIES["grid_search_holdout"](spark, sf_dir).collect()
+    assert len(table) == 64 and all(r.steps == r.n_iterations for r in table)
+
+
 def test_search_table_winner_and_pivots(spark):
     from corpusmill.operators import selection as L
     df = rows(spark).persist()
