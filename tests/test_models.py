@@ -294,6 +294,39 @@ def test_trees_are_sparks_and_never_see_rows_as_dense(spark, monkeypatch):
     assert np.mean([r.prediction == r.label for r in drawn.transform(df).collect()]) > 0.85
 
 
+def test_tree_search_is_the_same_by_copies_and_by_passes(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    from corpusmill.operators import selection as L
+    from corpusmill.operators import trees as D
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random((150, 5)) < 0.5, np.round(rng.random((150, 5)) * 9 - 3), 0.0)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 1).astype(int)
+    data = [(i, int(y[i]), i % 2, Vectors.sparse(5, [(j, float(v)) for j, v in enumerate(r) if v])) for i, r in enumerate(x)]
+    df = spark.createDataFrame(data, ["doc_id", "label", "fold", "features"]).repartition(3).persist()
+    grid = {"maxDepth": [2, 3], "maxIter": [4], "leafPenalty": [0.0, 5.0], "minInfoGain": [1 / 75]}
+    here = sorted(map(tuple, L.cv_grid_gbt(df, grid, k=2).drop("fit_seconds").collect()))
+    monkeypatch.setattr(D, "_SCANNED", 8)       # features searched in several runs
+    assert here == sorted(map(tuple, L.cv_grid_gbt(df, grid, k=2).drop("fit_seconds").collect())) and len(here) == 8
+    monkeypatch.setattr(D, "_WHOLE", 0)
+    assert here == sorted(map(tuple, L.cv_grid_gbt(df, grid, k=2).drop("fit_seconds").collect()))
+    for penalty, depth, _, _, fold, train, test in here:
+        if not penalty and depth == 3 and fold == 0:      # the model in Spark's form scores alike
+            model = D.gbt(df.where(F.col("fold") != fold), 4, 3, 0.1, 1.0, 1.0)
+            for side, score in ((F.col("fold") != fold, train), (F.col("fold") == fold, test)):
+                assert math.isclose(score, model.transform(df.where(side)).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
+
+
+def test_a_leaf_penalty_shrinks_leaves_and_every_setting_is_searched(spark):
+    from corpusmill.config import TREE_SPACE
+    from corpusmill.operators import selection as L
+    from corpusmill.operators import trees as D
+    tree = D._Tree(1, 2.0)
+    tree.split[1], tree.stats[2], tree.stats[3] = True, (4, 3, 3), (1, -1, 1)
+    assert tree.values()[2:].tolist() == [0.5, -1 / 3]
+    grid = L.tree_grid(TREE_SPACE, 10)
+    assert math.prod(map(len, grid.values())) == 27 and grid["maxIter"] == [90]
+
+
 def test_coverage_reads_the_rows_once_a_pass(spark):
     seen = spark.sparkContext.accumulator(0)
 
