@@ -259,6 +259,22 @@ def test_kernel_map_does_not_depend_on_blocks(spark, monkeypatch):
     assert whole.keys() == small.keys() and all(np.allclose(whole[i], small[i]) for i in whole)
 
 
+def test_a_worker_maps_few_rows_at_once(monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace
+    data = [(i, int(Y[i]), np.flatnonzero(X[i]).astype(np.int32), X[i][X[i] > 0]) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in data]), pa.array([r[1] for r in data], pa.int32()),
+                                        pa.array([r[2] for r in data], pa.list_(pa.int32())), pa.array([r[3] for r in data], pa.list_(pa.float64()))], ["doc_id", "label", "idx", "val"])
+    marks = X[:7].T
+    shared, spec = SimpleNamespace(value=(marks, (marks ** 2).sum(axis=0), np.eye(7))), R.KernelSpec("rbf")
+    tasks = [R._map_task(shared, spec, 0.5), R._residual_task(shared, spec, 0.5)]
+    whole = [pa.Table.from_batches(t(iter([batch]))).to_pydict() for t in tasks]
+    monkeypatch.setattr(R, "ROWS_AT_ONCE", 6)
+    for task, want in zip(tasks, whole):
+        parts = list(task(iter([batch])))
+        assert [p.num_rows for p in parts] == [6] * 6 + [4] and pa.Table.from_batches(parts).to_pydict() == want
+
+
 def test_specificity_drives_a_cross_validator(spark):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
